@@ -95,3 +95,100 @@ def q_measurements_fact_full_outer(spark, sf_dir):
 @register("green_share_zone_hour")
 def q_green_share(spark, sf_dir):
     return reports.green_share(measurements_fact(spark, sf_dir), decimals=DECIMALS)
+
+
+# --- dashboard ---------------------------------------------------------------
+
+@register("zone_list")
+def q_zone_list(spark, sf_dir):
+    return reports.zone_list(measurements_fact(spark, sf_dir))
+
+
+@register("available_hours")
+def q_available_hours(spark, sf_dir):
+    return reports.available_hours(measurements_fact(spark, sf_dir))
+
+
+@register("zone_series")
+def q_zone_series(spark, sf_dir):
+    return reports.zone_series(measurements_fact(spark, sf_dir), order=False)
+
+
+@register("green_series")
+def q_green_series(spark, sf_dir):
+    return reports.green_series(measurements_fact(spark, sf_dir), decimals=DECIMALS, order=False)
+
+
+@register("overlay_measures")
+def q_overlay(spark, sf_dir):
+    return reports.overlay(measurements_fact(spark, sf_dir))
+
+
+@register("green_share_country_hour")
+def q_green_share_country(spark, sf_dir):
+    return reports.green_share_country(measurements_fact(spark, sf_dir), decimals=DECIMALS)
+
+
+@register("green_share_country_fanout")
+def q_green_share_country_fanout(spark, sf_dir):
+    return reports.green_share_country(measurements_fact(spark, sf_dir), decimals=DECIMALS, fanout=True)
+
+
+@register("green_share_zone_hour_parity")
+def q_green_share_parity(spark, sf_dir):
+    return reports.green_share(measurements_fact(spark, sf_dir), parity=True, decimals=DECIMALS)
+
+
+@register("sampling_interval")
+def q_sampling_interval(spark, sf_dir):
+    return reports.sampling_interval(measurements_fact(spark, sf_dir))
+
+
+# --- dimensions --------------------------------------------------------------
+
+@register("unit_dim")
+def q_unit_dim(spark, sf_dir):
+    from voltlake.plans import dims
+    f = _feeds(spark, sf_dir)
+    return dims.build_unit_dim(f["consumption"], f["price"], f["production"])
+
+
+@register("condition_dim")
+def q_condition_dim(spark, sf_dir):
+    from voltlake.plans import dims
+    return dims.build_condition_dim(_feeds(spark, sf_dir)["weather"])
+
+
+@register("energy_type_dim")
+def q_energy_type_dim(spark, sf_dir):
+    from voltlake.plans import dims
+    return dims.build_energy_dim(_feeds(spark, sf_dir)["production"])
+
+
+@register("timestamp_dim")
+def q_timestamp_dim(spark, sf_dir):
+    from voltlake.plans import dims
+    bounds = dims.data_calendar_bounds(fx.read_events(spark, sf_dir))
+    return dims.build_timestamp_dim(bounds)
+
+
+# --- checks ------------------------------------------------------------------
+
+@register("fact_duplicate_keys")
+def q_fact_duplicate_keys(spark, sf_dir):
+    from voltlake.operators.checks import duplicate_keys
+    return duplicate_keys(measurements_fact(spark, sf_dir), ["eic_code", "datetime"])
+
+
+@register("production_duplicate_keys")
+def q_production_duplicate_keys(spark, sf_dir):
+    from voltlake.operators.checks import duplicate_keys
+    return duplicate_keys(_feeds(spark, sf_dir)["production"],
+                          ["eic_code", "datetime", "produced_energy_type"])
+
+
+@register("fact_null_counts")
+def q_fact_null_counts(spark, sf_dir):
+    from voltlake.operators.checks import null_counts
+    return null_counts(measurements_fact(spark, sf_dir),
+                       ["eic_code", "datetime", "bzn", "consumption_quantity", "price", "temperature"])

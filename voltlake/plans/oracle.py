@@ -183,3 +183,161 @@ ORACLE["weather_grid_15min"] = with_fact() + f"\nSELECT eic_code, datetime, {',
 ORACLE["measurements_fact"] = with_fact() + "\nSELECT * FROM fact"
 ORACLE["measurements_fact_full_outer"] = ORACLE["measurements_fact"]
 ORACLE["green_share_zone_hour"] = with_fact(green_share_sql()) + "\nSELECT * FROM green_share_out"
+
+# --- dashboard ---------------------------------------------------------------
+WEATHER_MEASURES = [c for _, c, _ in WEATHER_OPTIONS]
+SERIES_COLS = ["bzn", "datetime", "consumption_quantity", *PROD_COLS, "price", *WEATHER_MEASURES]
+
+ORACLE["zone_list"] = with_fact() + "\nSELECT DISTINCT bzn FROM fact"
+ORACLE["available_hours"] = with_fact() + """
+SELECT DISTINCT date_trunc('hour', datetime) AS hourly_datetime FROM fact
+WHERE date_trunc('hour', datetime) IS NOT NULL"""
+ORACLE["zone_series"] = with_fact() + f"""
+SELECT {', '.join(SERIES_COLS)} FROM fact WHERE consumption_quantity > 0"""
+ORACLE["green_series"] = with_fact() + f"""
+SELECT {', '.join(SERIES_COLS)},
+       round({row_sum(GREEN_COLS)}, 4) AS green_energy,
+       round({row_sum(OTHER_COLS)}, 4) AS non_green_energy
+FROM fact WHERE consumption_quantity > 0"""
+
+_OVERLAY = [("Price", "price", "EUR/MWH")] + list(WEATHER_OPTIONS)
+ORACLE["overlay_measures"] = with_fact() + f"""
+SELECT bzn, datetime, measure, value,
+       {sql_case('measure', [(lbl, u) for lbl, _, u in _OVERLAY])} AS unit
+FROM (
+  UNPIVOT (SELECT bzn, datetime, {', '.join(f'CAST({c} AS DOUBLE) AS "{lbl}"' for lbl, c, _ in _OVERLAY)} FROM fact)
+  ON {', '.join(f'"{lbl}"' for lbl, _, _ in _OVERLAY)}
+  INTO NAME measure VALUE value)"""
+
+ORACLE["green_share_zone_hour_parity"] = None  # filled below
+
+_COUNTRY_OF = sql_case("bzn", BZN_TO_COUNTRY)
+_COUNTRY_NAMES = list(dict.fromkeys(c for _, c in BZN_TO_COUNTRY))
+_SHARE = f"""
+share AS (
+  SELECT hourly_datetime, {_COUNTRY_OF} AS country, g / nullif(t, 0) AS p FROM green_share),
+hours AS (SELECT DISTINCT hourly_datetime FROM share)"""
+
+ORACLE["green_share_country_hour"] = with_fact(green_share_sql(), _SHARE) + f"""
+, avgs AS (SELECT hourly_datetime, country, avg(p) AS p FROM share GROUP BY hourly_datetime, country),
+grid AS (SELECT hourly_datetime, unnest({sql_list(_COUNTRY_NAMES)}) AS country FROM hours)
+SELECT grid.hourly_datetime, grid.country, round(coalesce(avgs.p, 0), 6) AS green_proportion
+FROM grid LEFT JOIN avgs ON grid.hourly_datetime = avgs.hourly_datetime AND grid.country = avgs.country"""
+
+ORACLE["green_share_country_fanout"] = with_fact(green_share_sql(), _SHARE) + f"""
+, grid AS (SELECT hourly_datetime, unnest({sql_list([c for _, c in BZN_TO_COUNTRY])}) AS country FROM hours)
+SELECT grid.hourly_datetime, grid.country, round(coalesce(share.p, 0), 6) AS green_proportion
+FROM grid LEFT JOIN share ON grid.hourly_datetime = share.hourly_datetime AND grid.country = share.country"""
+
+
+def _green_share_parity() -> str:
+    from voltlake.constants import dashboard_column
+    green = [c for c in PROD_COLS if c in {dashboard_column(s) for s in GREEN_SOURCES}]
+    other = [c for c in PROD_COLS if c not in green]
+    return f"""
+gs AS (
+  SELECT bzn, date_trunc('hour', datetime) AS hourly_datetime,
+         sum({_plus(green)}) AS g, sum({_plus(other)}) AS o, sum({_plus(PROD_COLS)}) AS t
+  FROM fact GROUP BY bzn, date_trunc('hour', datetime))
+SELECT bzn, hourly_datetime, round(g, 4) AS green_energy, round(o, 4) AS non_green_energy,
+       round(t, 4) AS total_energy, round(g / nullif(t, 0), 6) AS green_proportion FROM gs"""
+
+
+ORACLE["green_share_zone_hour_parity"] = with_fact(_green_share_parity())
+
+ORACLE["sampling_interval"] = with_fact() + """,
+s AS (SELECT bzn, datetime FROM fact WHERE consumption_quantity > 0),
+f AS (SELECT bzn, min(datetime) AS first_datetime FROM s GROUP BY bzn),
+sec AS (SELECT s.bzn, min(s.datetime) AS second_datetime FROM s JOIN f ON s.bzn = f.bzn
+        WHERE s.datetime > f.first_datetime GROUP BY s.bzn)
+SELECT f.bzn, f.first_datetime, sec.second_datetime,
+       date_diff('second', f.first_datetime, sec.second_datetime) / 3600.0 AS interval_hours,
+       date_diff('second', f.first_datetime, sec.second_datetime) / 3600.0 <= 0.25 AS quarter_hourly
+FROM f LEFT JOIN sec ON f.bzn = sec.bzn"""
+
+# --- dimensions --------------------------------------------------------------
+
+_UNIT_LITS = ", ".join(f"({q(u)}, 4, {i}, 0)" for i, u in enumerate(WEATHER_UNIT_LITERALS))
+ORACLE["unit_dim"] = with_feeds() + f""",
+cand AS (
+  SELECT unit AS u, 1 AS src, ingest_order AS o, 0 AS col FROM consumption_data
+  UNION ALL SELECT currency_unit, 2, ingest_order, 0 FROM price_data
+  UNION ALL SELECT price_measure_unit, 2, ingest_order, 1 FROM price_data
+  UNION ALL SELECT unit, 3, ingest_order, 0 FROM production_data
+  UNION ALL SELECT * FROM (VALUES {_UNIT_LITS}) v(u, src, o, col)),
+firsts AS (
+  SELECT u, src, o, col FROM cand WHERE u IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY u ORDER BY src, o, col) = 1)
+SELECT row_number() OVER (ORDER BY src, o, col) AS _id, u AS unit_short,
+       {sql_case('u', [(u, lg) for u, _, lg in UNITS], "''")} AS unit_long,
+       {sql_case('u', [(u, c) for u, c, _ in UNITS], "''")} AS unit_class
+FROM firsts"""
+
+_HEADERS = ["minimum_temperature", "maximum_temperature", "temperature", "dew_point",
+            "relative_humidity", "wind_speed", "wind_direction", "precipitation", "visibility",
+            "solar_energy", "solar_radiation", "sea_level_pressure"]
+_HDR_ROWS = ", ".join(f"({q(h)}, 1, {i}, 0)" for i, h in enumerate(_HEADERS))
+ORACLE["condition_dim"] = with_feeds() + f""",
+split AS (SELECT string_split(conditions, ',') AS l, ingest_order FROM weather_cleaned),
+terms AS (
+  SELECT trim(unnest(l)) AS term, 0 AS src, ingest_order AS o, generate_subscripts(l, 1) AS pos FROM split
+  UNION ALL SELECT * FROM (VALUES {_HDR_ROWS}) v(term, src, o, pos)),
+firsts AS (
+  SELECT term, src, o, pos FROM terms WHERE term IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY term ORDER BY src, o, pos) = 1),
+mapped AS (
+  SELECT src, o, pos,
+         {sql_case('term', [(t, s) for t, s, _, _, _ in CONDITIONS], "''")} AS condition_short,
+         {sql_case('term', [(t, lg) for t, _, lg, _, _ in CONDITIONS], "''")} AS condition_long,
+         {sql_case('term', [(t, ty) for t, _, _, ty, _ in CONDITIONS], "''")} AS condition_type,
+         CAST({sql_case('term', [(t, n) for t, _, _, _, n in CONDITIONS], "0")} AS INTEGER) AS numerical
+  FROM firsts),
+per_short AS (
+  SELECT * FROM mapped QUALIFY row_number() OVER (PARTITION BY condition_short ORDER BY src, o, pos) = 1)
+SELECT row_number() OVER (ORDER BY src, o, pos) AS _id, condition_short, condition_long,
+       condition_type, numerical
+FROM per_short"""
+
+ORACLE["energy_type_dim"] = with_feeds() + f""",
+firsts AS (
+  SELECT produced_energy_type AS t, min(ingest_order) AS o FROM production_data
+  WHERE produced_energy_type IS NOT NULL GROUP BY produced_energy_type)
+SELECT row_number() OVER (ORDER BY o) AS _id, t AS energy_type_x,
+       {sql_case('t', [(t, c) for t, c, _, _ in ENERGY_CLASSES], "''")} AS energy_type_class,
+       CAST({sql_case('t', [(t, r) for t, _, r, _ in ENERGY_CLASSES], "0")} AS INTEGER) AS renewable,
+       CAST({sql_case('t', [(t, k) for t, _, _, k in ENERGY_CLASSES], "0")} AS INTEGER) AS carbon
+FROM firsts"""
+
+_HOLS = ", ".join(f"DATE {q(h)}" for h in ["2024-12-24", "2024-12-25", "2024-12-26"])
+ORACLE["timestamp_dim"] = f"""
+WITH bounds AS (
+  SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS lo,
+         CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 15 MINUTE AS hi
+  FROM events),
+cal AS (SELECT unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS datetime FROM bounds),
+typed AS (
+  SELECT datetime, dayname(datetime) AS weekday,
+         CASE WHEN CAST(datetime AS DATE) IN ({_HOLS}) THEN 'Holiday'
+              WHEN isodow(datetime) >= 6 THEN 'Weekend' ELSE 'Working Day' END AS kind
+  FROM cal)
+SELECT row_number() OVER (ORDER BY datetime) AS _id, datetime, weekday,
+       CAST(kind = 'Working Day' AS INTEGER) AS workingday,
+       CAST(kind = 'Weekend' AS INTEGER) AS weekend,
+       CAST(kind = 'Holiday' AS INTEGER) AS holiday
+FROM typed"""
+
+# --- checks ------------------------------------------------------------------
+
+ORACLE["fact_duplicate_keys"] = with_fact() + """
+SELECT eic_code, datetime, count(*) AS n_rows FROM fact GROUP BY eic_code, datetime HAVING count(*) > 1"""
+ORACLE["production_duplicate_keys"] = with_feeds() + """
+SELECT eic_code, datetime, produced_energy_type, count(*) AS n_rows FROM production_data
+GROUP BY eic_code, datetime, produced_energy_type HAVING count(*) > 1"""
+ORACLE["fact_null_counts"] = with_fact() + """
+SELECT count(*) FILTER (WHERE eic_code IS NULL) AS eic_code_nulls,
+       count(*) FILTER (WHERE datetime IS NULL) AS datetime_nulls,
+       count(*) FILTER (WHERE bzn IS NULL) AS bzn_nulls,
+       count(*) FILTER (WHERE consumption_quantity IS NULL) AS consumption_quantity_nulls,
+       count(*) FILTER (WHERE price IS NULL) AS price_nulls,
+       count(*) FILTER (WHERE temperature IS NULL) AS temperature_nulls
+FROM fact"""
