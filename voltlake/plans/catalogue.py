@@ -192,3 +192,81 @@ def q_fact_null_counts(spark, sf_dir):
     from voltlake.operators.checks import null_counts
     return null_counts(measurements_fact(spark, sf_dir),
                        ["eic_code", "datetime", "bzn", "consumption_quantity", "price", "temperature"])
+
+
+# --- documents (S3-S8 round trips, B9, B10, S9) -------------------------------
+
+@register("production_xml_roundtrip")
+def q_production_xml(spark, sf_dir):
+    from voltlake.sources.landing import generation_documents
+    from voltlake.sources.market_xml import parse_generation
+    docs = generation_documents(fx.read_events(spark, sf_dir))
+    return parse_generation(docs).drop("ingest_order")
+
+
+@register("price_xml_roundtrip")
+def q_price_xml(spark, sf_dir):
+    from voltlake.sources.landing import price_documents
+    from voltlake.sources.market_xml import parse_price
+    docs = price_documents(fx.read_events(spark, sf_dir))
+    return parse_price(docs).drop("ingest_order", "position")
+
+
+@register("consumption_xml_roundtrip")
+def q_consumption_xml(spark, sf_dir):
+    from voltlake.sources.landing import load_documents
+    from voltlake.sources.market_xml import parse_load
+    docs = load_documents(fx.read_events(spark, sf_dir))
+    return parse_load(docs).drop("ingest_order")
+
+
+@register("weather_json_roundtrip")
+def q_weather_json(spark, sf_dir):
+    from voltlake.plans.clean import clean_weather
+    from voltlake.sources.landing import weather_documents
+    from voltlake.sources.weather_json import parse_weather
+    docs = weather_documents(fx.weather_data(fx.read_events(spark, sf_dir)))
+    return clean_weather(parse_weather(docs)).drop("ingest_order")
+
+
+@register("measurements_fact_from_documents")
+def q_fact_from_documents(spark, sf_dir):
+    from voltlake.plans.feeds import feeds_from_documents
+    f = feeds_from_documents(spark, sf_dir)
+    return fact_plan.build_fact(f["consumption"], f["production"], f["price"], f["weather"])
+
+
+def _breakdown_frame(spark, sf_dir):
+    from voltlake.constants import ENERGY_TYPES, production_column
+    from voltlake.sources.breakdown import breakdown_frame
+    from voltlake.sources.landing import breakdown_documents
+    f = _feeds(spark, sf_dir)
+    docs = breakdown_documents(fact_plan.production_wide(f["production"]),
+                               fact_plan.consumption_keyed(f["consumption"]))
+    keys = [production_column(t)[len("production_quantity_"):] for t in ENERGY_TYPES]
+    return breakdown_frame(docs, "production", keys)
+
+
+@register("power_breakdown_production")
+def q_power_breakdown(spark, sf_dir):
+    return _breakdown_frame(spark, sf_dir)
+
+
+@register("power_breakdown_range")
+def q_power_breakdown_range(spark, sf_dir):
+    from voltlake.sources.breakdown import breakdown_range
+    return breakdown_range(_breakdown_frame(spark, sf_dir))
+
+
+@register("price_day_report")
+def q_price_day_report(spark, sf_dir):
+    from voltlake.plans.feeds import price_day_report
+    from voltlake.sources.landing import price_documents
+    return price_day_report(price_documents(fx.read_events(spark, sf_dir)))
+
+
+@register("weather_missing_zones")
+def q_weather_missing_zones(spark, sf_dir):
+    from voltlake.sources.landing import weather_documents
+    from voltlake.sources.weather_json import missing_zones
+    return missing_zones(weather_documents(fx.weather_data(fx.read_events(spark, sf_dir))))

@@ -341,3 +341,45 @@ SELECT count(*) FILTER (WHERE eic_code IS NULL) AS eic_code_nulls,
        count(*) FILTER (WHERE price IS NULL) AS price_nulls,
        count(*) FILTER (WHERE temperature IS NULL) AS temperature_nulls
 FROM fact"""
+
+# --- documents ---------------------------------------------------------------
+
+ORACLE["production_xml_roundtrip"] = ORACLE["production_data"]
+ORACLE["price_xml_roundtrip"] = ORACLE["price_data"]
+ORACLE["consumption_xml_roundtrip"] = ORACLE["consumption_data"]
+ORACLE["weather_json_roundtrip"] = ORACLE["weather_cleaned"]
+ORACLE["measurements_fact_from_documents"] = ORACLE["measurements_fact"]
+
+_EIC_TO_BZN = sql_case("eic_code", [(z[1], z[2]) for z in ZONES])
+_BREAKDOWN_COLS = ", ".join(f"{c} AS {c[len('production_quantity_'):]}" for c in PROD_COLS)
+ORACLE["power_breakdown_production"] = with_fact() + f"""
+SELECT {_EIC_TO_BZN} AS zone, datetime, {_BREAKDOWN_COLS} FROM prod"""
+ORACLE["power_breakdown_range"] = with_fact() + f"""
+SELECT {_EIC_TO_BZN} AS zone, min(datetime) AS start_datetime, max(datetime) AS end_datetime,
+       count(*) AS n_entries
+FROM prod GROUP BY {_EIC_TO_BZN}"""
+
+ORACLE["price_day_report"] = with_feeds() + f""",
+ppts AS (
+  SELECT p.eic_code, p.period_start AS day, p.period_start + to_hours(p.position) AS datetime,
+         p.value AS price, p.ingest_order
+  FROM pts p WHERE p.event_type = 'purchase'),
+firsts AS (
+  SELECT eic_code, day, datetime, arg_min_null(price, ingest_order) AS price
+  FROM ppts GROUP BY eic_code, day, datetime),
+days AS (SELECT DISTINCT eic_code, day FROM ppts),
+grid AS (
+  SELECT eic_code, day, unnest(generate_series(day, day + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS datetime
+  FROM days),
+j AS (
+  SELECT g.eic_code, g.day, g.datetime, f.price FROM grid g
+  LEFT JOIN firsts f ON g.eic_code = f.eic_code AND g.day = f.day AND g.datetime = f.datetime)
+SELECT {_EIC_TO_BZN} AS country, datetime,
+       last_value(price IGNORE NULLS) OVER (PARTITION BY eic_code, day ORDER BY datetime
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price
+FROM j"""
+
+_ZONE_ROWS = ", ".join(f"({q(z[0])}, {q(z[2])})" for z in ZONES)
+ORACLE["weather_missing_zones"] = with_feeds() + f""",
+zones AS (SELECT * FROM (VALUES {_ZONE_ROWS}) v(country, bzn))
+SELECT country, bzn FROM zones WHERE bzn NOT IN (SELECT DISTINCT bzn FROM weather_cleaned)"""
