@@ -270,3 +270,32 @@ def q_weather_missing_zones(spark, sf_dir):
     from voltlake.sources.landing import weather_documents
     from voltlake.sources.weather_json import missing_zones
     return missing_zones(weather_documents(fx.weather_data(fx.read_events(spark, sf_dir))))
+
+
+# --- clean layer (J1) and request planning (J7) -------------------------------
+
+@register("price_cleaned")
+def q_price_cleaned(spark, sf_dir):
+    from voltlake.plans.clean import add_bzn
+    f = _feeds(spark, sf_dir)
+    return add_bzn(f["price"].drop("ingest_order"), f["weather"])
+
+
+@register("production_cleaned")
+def q_production_cleaned(spark, sf_dir):
+    from voltlake.plans.clean import add_bzn
+    f = _feeds(spark, sf_dir)
+    return add_bzn(f["production"].drop("ingest_order"), f["weather"])
+
+
+@register("consumption_cleaned")
+def q_consumption_cleaned(spark, sf_dir):
+    from voltlake.plans.clean import add_bzn
+    f = _feeds(spark, sf_dir)
+    return add_bzn(f["consumption"].drop("ingest_order"), f["weather"])
+
+
+@register("request_manifest")
+def q_request_manifest(spark, sf_dir):
+    from voltlake.operators.manifest import data_run_window, request_manifest
+    return request_manifest(data_run_window(fx.read_events(spark, sf_dir)))

@@ -383,3 +383,45 @@ _ZONE_ROWS = ", ".join(f"({q(z[0])}, {q(z[2])})" for z in ZONES)
 ORACLE["weather_missing_zones"] = with_feeds() + f""",
 zones AS (SELECT * FROM (VALUES {_ZONE_ROWS}) v(country, bzn))
 SELECT country, bzn FROM zones WHERE bzn NOT IN (SELECT DISTINCT bzn FROM weather_cleaned)"""
+
+# --- clean layer and request planning ----------------------------------------
+
+
+def _cleaned(table: str, cols: str) -> str:
+    return with_feeds() + f"""
+SELECT {cols},
+       CASE WHEN t.eic_code = {q(POLAND_EIC)} THEN 'PL' ELSE w.bzn END AS bzn
+FROM {table} t LEFT JOIN (SELECT DISTINCT eic_code, bzn FROM weather_cleaned) w ON t.eic_code = w.eic_code"""
+
+
+ORACLE["price_cleaned"] = _cleaned(
+    "price_data", "t.eic_code, t.price, t.currency_unit, t.price_measure_unit, t.datetime")
+ORACLE["production_cleaned"] = _cleaned(
+    "production_data", "t.eic_code, t.quantity, t.unit, t.produced_energy_type, t.datetime")
+ORACLE["consumption_cleaned"] = _cleaned("consumption_data", "t.eic_code, t.quantity, t.unit, t.datetime")
+
+_ZONE_REQ = ", ".join(f"({q(z[2])}, {q(z[1])}, {q(f'{z[3]},{z[4]}')})" for z in ZONES)
+ORACLE["request_manifest"] = f"""
+WITH run AS (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events),
+feeds AS (SELECT * FROM (VALUES
+   ('production', 'A75', 'A16', NULL, 'in_Domain', 1),
+   ('price', 'A44', NULL, 'A01', 'in_Domain', 0),
+   ('consumption', 'A65', 'A16', NULL, 'outBiddingZone_Domain', 1))
+   v(feed, document_type, process_type, contract_type, zone_param, incl)),
+zones AS (SELECT * FROM (VALUES {_ZONE_REQ}) v(bzn, eic, coords)),
+win AS (
+  SELECT f.*, CAST(r.s AS TIMESTAMP) AS s, CAST(r.e AS TIMESTAMP) + to_days(f.incl) AS e_ex
+  FROM run r CROSS JOIN feeds f),
+ws AS (
+  SELECT *, unnest(generate_series(s, e_ex - INTERVAL 1 DAY, INTERVAL 31 DAY)) AS ws FROM win WHERE s < e_ex)
+SELECT feed, z.bzn, zone_param, z.eic AS zone_value, document_type, process_type, contract_type,
+       strftime(ws, '%Y%m%d%H%M') AS period_start,
+       strftime(least(ws + INTERVAL 31 DAY, e_ex), '%Y%m%d%H%M') AS period_end
+FROM ws CROSS JOIN zones z
+UNION ALL
+SELECT 'weather', z.bzn, 'locations', z.coords, NULL, NULL, NULL,
+       strftime(CASE WHEN CAST(r.e AS TIMESTAMP) - CAST(r.s AS TIMESTAMP) > INTERVAL 48 HOUR
+                     THEN CAST(r.e AS TIMESTAMP) - INTERVAL 48 HOUR ELSE CAST(r.s AS TIMESTAMP) END,
+                '%Y-%m-%d') || 'T00:00:00',
+       strftime(r.e, '%Y-%m-%d') || 'T23:59:59'
+FROM run r CROSS JOIN zones z"""
