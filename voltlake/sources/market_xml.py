@@ -160,8 +160,8 @@ def parse_load(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
         p0 = ts0["Period"][0]
         all_points = F.flatten(F.transform(
             F.col("_doc.TimeSeries"), lambda s: F.flatten(F.transform(s["Period"], lambda p: p["Point"]))))
-        pts = d.select(*keep, ts0["`outBiddingZone_Domain.mRID`"].alias("eic_code"),
-                       ts0["`quantity_Measure_Unit.name`"].alias("unit"),
+        pts = d.select(*keep, ts0.getField("outBiddingZone_Domain.mRID").alias("eic_code"),
+                       ts0.getField("quantity_Measure_Unit.name").alias("unit"),
                        p0["timeInterval"]["start"].alias("_start"), p0["resolution"].alias("_resolution"),
                        "_seq", F.posexplode(all_points).alias("_pix", "_pt"))
         pts = pts.withColumn("_order", F.struct("_seq", F.lit(0).alias("_six"), F.lit(0).alias("_per"), "_pix"))

@@ -33,15 +33,16 @@ WEATHER_SCHEMA = (
 DOC_ORDER_SPAN = 1_000_000
 
 
-def require_ok(docs: DataFrame, status_col: str = "status") -> DataFrame:
-    """S10 weather policy: a non-200 response is an error, not a skip."""
+def require_ok(docs: DataFrame, status_col: str = "status", body_col: str = "body") -> DataFrame:
+    """S10 weather policy: a non-200 response is an error, not a skip. The
+    check guards the body column, so it cannot be pruned away."""
     if status_col not in docs.columns:
         return docs
-    return docs.withColumn(status_col, F.when(
+    return docs.withColumn(body_col, F.when(
         F.col(status_col) != 200,
         F.raise_error(F.format_string("Failed to fetch weather data for %s. Status code: %s",
                                       F.col("bzn"), F.col(status_col).cast("string")))
-    ).otherwise(F.col(status_col)))
+    ).otherwise(F.col(body_col)))
 
 
 def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bool = True) -> DataFrame:
@@ -53,7 +54,7 @@ def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bo
     doc_seq * 10^6 + position of the value in its document.
     """
     spark = docs.sparkSession
-    d = require_ok(docs)
+    d = require_ok(docs, body_col=body_col)
     seq = F.col("doc_seq") if "doc_seq" in d.columns else F.lit(0)
     # a document is identified by what it was fetched for (its landing key)
     key = [c for c in ("bzn", "window_start", "window_end", "doc_seq") if c in d.columns]
