@@ -21,7 +21,10 @@ def insert_if_absent(candidates: DataFrame, existing: DataFrame | None, key: Seq
     if existing is None:
         return candidates
     key = [key] if isinstance(key, str) else list(key)
-    return candidates.join(existing.select(*key), on=key, how="left_anti")
+    # fresh aliases: the existing table may share lineage with the candidates
+    ex = existing.select(*[F.col(k).alias(f"_ex_{k}") for k in key]).distinct()
+    cond = [candidates[k].eqNullSafe(ex[f"_ex_{k}"]) for k in key]
+    return candidates.join(ex, on=cond, how="left_anti")
 
 
 def existing_count(existing: DataFrame | None) -> int:

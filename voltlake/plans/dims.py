@@ -165,14 +165,14 @@ def build_timestamp_dim(bounds: DataFrame, step_minutes: int = 15,
     slots = days.select("day", F.explode(F.when(first_slot <= last, F.sequence(first_slot, last, step))).alias("datetime"))
     kind = T.day_type("datetime", list(holidays))
     cal = slots.select(
-        "day", "datetime",
+        "datetime",
         T.weekday_name("datetime").alias("weekday"),
         (kind == "Working Day").cast("int").alias("workingday"),
         (kind == "Weekend").cast("int").alias("weekend"),
         (kind == "Holiday").cast("int").alias("holiday"),
     )
     cal = insert_if_absent(cal, existing, "datetime")
-    cal = sequential_ids(cal, ["datetime"], bucket=F.col("day"), offset=existing_count(existing))
+    cal = sequential_ids(cal, ["datetime"], bucket=F.to_date("datetime"), offset=existing_count(existing))
     return cal.select("_id", "datetime", "weekday", "workingday", "weekend", "holiday")
 
 
