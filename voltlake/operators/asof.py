@@ -43,13 +43,14 @@ def ffill_grid(df: DataFrame, keys: Sequence[str], ts: str = "datetime",
     nexts = firsts.select(*keys, chunk, F.lead("_first").over(w_chunks).alias("_next_chunk"))
 
     obs = obs.join(nexts, on=[*keys, chunk], how="left")
-    nxt = F.coalesce(F.col("_next_in_chunk"), F.col("_next_chunk"))
-    start = T.ceil_minutes(ts, step_minutes)
-    end = F.when(nxt.isNull(), T.floor_minutes(ts, step_minutes)) \
-        .otherwise(T.ceil_minutes(nxt, step_minutes) - T.minutes(step_minutes))
-    step = F.expr(f"INTERVAL {int(step_minutes)} MINUTES")
-    slots = F.when(start <= end, F.sequence(start, end, step))
-    out = obs.withColumn("_slot", F.explode(slots))
+    q = f"`{ts}`"
+    nxt = "coalesce(_next_in_chunk, _next_chunk)"
+    start = T.sql_ceil_minutes(q, step_minutes)
+    end = (f"CASE WHEN {nxt} IS NULL THEN {T.sql_floor_minutes(q, step_minutes)} "
+           f"ELSE {T.sql_ceil_minutes(nxt, step_minutes)} - {T.sql_minutes(int(step_minutes))} END")
+    slots = F.expr(f"CASE WHEN {start} <= {end} THEN "
+                   f"sequence({start}, {end}, INTERVAL {int(step_minutes)} MINUTES) END")
+    out = obs.select(*[c for c in df.columns if c != ts], F.explode(slots).alias("_slot"))
     return out.select(*[F.col("_slot").alias(c) if c == ts else F.col(c) for c in df.columns])
 
 

@@ -51,9 +51,11 @@ def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, value: str,
     shuffle on ``index`` with map-side partial aggregation, and a static
     output schema from the explicit value list (missing values -> null).
     """
+    from voltlake.operators.lookup import sql_literal
     names = list(names) if names is not None else list(pivot_values)
     aggs = []
     for v, n in zip(pivot_values, names):
-        hit = F.col(pivot_col) == F.lit(v)
-        aggs.append(F.min_by(F.when(hit, F.col(value)), F.when(hit, F.col(order))).alias(n))
+        hit = f"`{pivot_col}` = {sql_literal(v)}"
+        aggs.append(F.expr(f"min_by(CASE WHEN {hit} THEN `{value}` END, "
+                           f"CASE WHEN {hit} THEN `{order}` END) AS `{n}`"))
     return df.groupBy(*index).agg(*aggs)

@@ -14,11 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def sql_literal(v: object) -> str:
+    """A Spark SQL literal for a Python str / int / float / None."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_literal(pairs: Iterable[tuple[object, object]]) -> Column:
-    kv: list[Column] = []
-    for k, v in pairs:
-        kv.extend([F.lit(k), F.lit(v)])
-    return F.create_map(*kv)
+    """A literal map built in one expression (one JVM call, not one per entry)."""
+    body = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in pairs)
+    return F.expr(f"map({body})")
 
 
 def lookup(key, pairs: Iterable[tuple[object, object]]) -> Column:
@@ -34,7 +44,8 @@ def lookup_or(key, pairs: Iterable[tuple[object, object]], default) -> Column:
 def pick(index, values: Sequence[object]) -> Column:
     """0-based positional pick from a literal list (null when out of range)."""
     index = F.col(index) if isinstance(index, str) else index
-    return F.try_element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+    arr = F.expr("array(" + ", ".join(sql_literal(v) for v in values) + ")")
+    return F.try_element_at(arr, index + 1)
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:

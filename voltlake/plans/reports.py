@@ -193,11 +193,11 @@ def sampling_interval(fact: DataFrame, bzn: str | None = None, start=None, end=N
     s = zone_series(fact, bzn, start, end, order=False)
     if bzn is not None:
         s = s.withColumn("bzn", F.lit(bzn))
-    from voltlake.operators.joins import checked_broadcast
     first = s.groupBy("bzn").agg(F.min("datetime").alias("_first"))
-    # one row per zone: broadcast after a size check, the series side is not
-    # shuffled on the low-cardinality zone key
-    second = s.join(checked_broadcast(first), "bzn").filter(F.col("datetime") > F.col("_first")) \
+    # one row per zone: zones come from the fixed 17-row zone table (every
+    # reader joins it), so this side is bounded and broadcast; the series
+    # side is never shuffled on the low-cardinality zone key
+    second = s.join(F.broadcast(first), "bzn").filter(F.col("datetime") > F.col("_first")) \
         .groupBy("bzn").agg(F.min("datetime").alias("_second"))
     out = first.join(second, "bzn", "left")
     hours = F.timestamp_diff("SECOND", F.col("_first"), F.col("_second")) / 3600.0

@@ -22,6 +22,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -14,12 +14,12 @@ at the Parquet reader, so it scales with the events table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.constants import PSR_TYPES, ZONES
 from voltlake.functions import timefn as T
-from voltlake.operators.lookup import lookup, pick
+from voltlake.operators.lookup import lookup
 
 # --- fixed values: event type -> production type code of the adapters -------
 EVENT_PSR: list[tuple[str, str]] = [
@@ -51,23 +51,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
-def _zone_ix() -> Column:
-    return (F.col("user_id") % 17).cast("int")
-
-
 def landed_points(events: DataFrame) -> DataFrame:
     """Events as market-document points: zone, resolution, period, position."""
-    zix = _zone_ix()
-    res = F.when(zix.isin(*QUARTER_HOUR_ZONE_IX), F.lit(15)).otherwise(F.lit(60))
-    return events.select(
-        F.col("event_id").alias("ingest_order"),
-        pick(zix, [z[1] for z in ZONES]).alias("eic_code"),
-        F.when(res == 15, F.lit("PT15M")).otherwise(F.lit("PT60M")).alias("resolution"),
-        T.day_start("ts").alias("period_start"),
-        (F.floor(T.minute_of_day("ts") / res).cast("int") + 1).alias("position"),
-        F.col("event_type"),
-        F.col("value"),
-        F.col("ts"),
+    from voltlake.operators.lookup import sql_literal
+    zix = "CAST(user_id % 17 AS INT)"
+    qh = ", ".join(str(i) for i in QUARTER_HOUR_ZONE_IX)
+    res = f"(CASE WHEN {zix} IN ({qh}) THEN 15 ELSE 60 END)"
+    eics = "array(" + ", ".join(sql_literal(z[1]) for z in ZONES) + ")"
+    return events.selectExpr(
+        "event_id AS ingest_order",
+        f"try_element_at({eics}, {zix} + 1) AS eic_code",
+        f"CASE WHEN {res} = 15 THEN 'PT15M' ELSE 'PT60M' END AS resolution",
+        f"{T.sql_day_start('ts')} AS period_start",
+        f"CAST(floor({T.sql_minute_of_day('ts')} / {res}) AS INT) + 1 AS position",
+        "event_type", "value", "ts",
     )
 
 
@@ -112,31 +109,25 @@ def price_data(events: DataFrame) -> DataFrame:
 
 def weather_data(events: DataFrame) -> DataFrame:
     """Raw weather rows (API field names), one per view event at its hour."""
-    v = events.filter(F.col("event_type") == "view")
-    zix = _zone_ix()
-    value = F.col("value")
-    bzn = pick(zix, [z[2] for z in ZONES])
-    return v.select(
-        pick(zix, [z[0] for z in ZONES]).alias("Country"),
-        pick(zix, [z[1] for z in ZONES]).alias("EIC"),
-        bzn.alias("BZN"),
-        T.trunc_hour("ts").alias("datetime"),
-        (value - 2).alias("mint"),
-        (value + 2).alias("maxt"),
-        value.alias("temp"),
-        (value - 5).alias("dew"),
-        (value * 3).alias("humidity"),
-        (value / 4).alias("wspd"),
-        (value * 10).alias("wdir"),
-        (value / 10).alias("precip"),
-        (value + 10).alias("visibility"),
-        (value / 100).alias("solarenergy"),
-        (value * 5).alias("solarradiation"),
-        (value + 1000).alias("sealevelpressure"),
-        F.concat(F.lit("st_"), bzn).alias("stationinfo"),
-        F.concat(F.lit('{"'), bzn, F.lit('":1}')).alias("stationContributions"),
-        pick((F.col("event_id") % 5).cast("int"), ADAPTER_CONDITIONS).alias("conditions"),
-        F.col("event_id").alias("ingest_order"),
+    from voltlake.operators.lookup import sql_literal
+
+    def arr(vals):
+        return "array(" + ", ".join(sql_literal(v) for v in vals) + ")"
+    zix = "CAST(user_id % 17 AS INT) + 1"
+    bzn = f"try_element_at({arr([z[2] for z in ZONES])}, {zix})"
+    return events.filter(F.col("event_type") == "view").selectExpr(
+        f"try_element_at({arr([z[0] for z in ZONES])}, {zix}) AS Country",
+        f"try_element_at({arr([z[1] for z in ZONES])}, {zix}) AS EIC",
+        f"{bzn} AS BZN",
+        f"{T.sql_trunc_hour('ts')} AS datetime",
+        "value - 2 AS mint", "value + 2 AS maxt", "value AS temp", "value - 5 AS dew",
+        "value * 3 AS humidity", "value / 4 AS wspd", "value * 10 AS wdir", "value / 10 AS precip",
+        "value + 10 AS visibility", "value / 100 AS solarenergy", "value * 5 AS solarradiation",
+        "value + 1000 AS sealevelpressure",
+        f"concat('st_', {bzn}) AS stationinfo",
+        f"concat('{{\"', {bzn}, '\":1}}') AS stationContributions",
+        f"try_element_at({arr(ADAPTER_CONDITIONS)}, CAST(event_id % 5 AS INT) + 1) AS conditions",
+        "event_id AS ingest_order",
     )
 
 
@@ -145,11 +136,26 @@ def weather_cleaned(events: DataFrame) -> DataFrame:
     return clean_weather(weather_data(events))
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ev = read_events(spark, sf_dir)
-    return {
-        "production": production_data(ev),
-        "consumption": consumption_data(ev),
-        "price": price_data(ev),
-        "weather": weather_cleaned(ev),
+class Feeds(dict):
+    """The four adapter feeds, each built on first use (a query that reads
+    one feed does not plan the others)."""
+
+    _builders = {
+        "production": production_data,
+        "consumption": consumption_data,
+        "price": price_data,
+        "weather": weather_cleaned,
     }
+
+    def __init__(self, events: DataFrame):
+        super().__init__()
+        self._events = events
+
+    def __missing__(self, key: str) -> DataFrame:
+        df = self._builders[key](self._events)
+        self[key] = df
+        return df
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return Feeds(read_events(spark, sf_dir))

@@ -95,7 +95,7 @@ def _explode_points(series: DataFrame, first_period_only: bool, extra: list[str]
 
 
 def _stamp() -> Column:
-    return T.point_time(T.parse_market_time(F.col("_start")), F.col("_resolution"), F.col("_pt.position"))
+    return T.point_time(T.sql_parse_market_time("_start"), "_resolution", "_pt.position")
 
 
 def parse_generation(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
@@ -135,7 +135,7 @@ def parse_price(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
     extra = [*keep, "_seq", "eic_code", "currency_unit", "price_measure_unit"]
     pts = _explode_points(s, first_period_only, extra)
     if hourly_positions:
-        stamp = T.hourly_point_time(T.parse_market_time(F.col("_start")), F.col("_pt.position"))
+        stamp = T.hourly_point_time(T.sql_parse_market_time("_start"), "_pt.position")
     else:
         stamp = _stamp()
     return pts.select(*keep, "eic_code", F.col("_pt.`price.amount`").alias("price"),
