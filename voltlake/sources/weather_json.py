@@ -5,8 +5,9 @@ for (partition columns of the landing folder or columns of a table) and the
 JSON body. ``from_json`` with an explicit schema; the first location's
 ``values`` are flattened with ``posexplode`` (document order is kept as the
 row order for keep-first), the zone attributes come from a broadcast of the
-fixed 17-row zone table, and the per-file null-column rule (P8) is a window
-over the document.
+fixed 17-row zone table, and the per-file null-column rule (P8) is an
+``exists`` over the document's own values array (a document is one row, so
+the rule needs no shuffle).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from voltlake.functions import timefn as T
 from voltlake.functions.textfn import rstrip_tab
-from voltlake.plans.clean import drop_incomplete
 from voltlake.sources.zones import zones_frame
 
 VALUE_FIELDS = [
@@ -56,27 +56,31 @@ def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bo
     spark = docs.sparkSession
     d = require_ok(docs, body_col=body_col)
     seq = F.col("doc_seq") if "doc_seq" in d.columns else F.lit(0)
-    # a document is identified by what it was fetched for (its landing key)
-    key = [c for c in ("bzn", "window_start", "window_end", "doc_seq") if c in d.columns]
-    d = d.select("bzn", seq.cast("long").alias("_seq"), F.struct(*key).alias("_doc"),
+    d = d.select("bzn", seq.cast("long").alias("_seq"),
                  F.from_json(F.col(body_col), WEATHER_SCHEMA).alias("_d"))
     loc = F.map_values(F.col("_d.locations"))[0]
-    rows = d.select("bzn", "_seq", "_doc",
+    fields = [n for n, _ in VALUE_FIELDS]
+    # P8 per document, before the explode: a field with any null in this
+    # document's values is nulled for the whole document (no shuffle needed,
+    # a document is one row here)
+    def _has_null(field):
+        return lambda v: v[field].isNull()
+    complete = {n: ~F.exists(loc["values"], _has_null(n)) for n in fields} if drop_null_columns else {}
+    rows = d.select("bzn", "_seq",
                     F.coalesce(loc["stationContributions"], F.lit("{}")).alias("stationContributions"),
+                    *[c.alias(f"_ok_{n}") for n, c in complete.items()],
                     F.posexplode(loc["values"]).alias("_ix", "_v"))
     zones = F.broadcast(zones_frame(spark).select(
         F.col("bzn"), F.col("country").alias("Country"), F.col("eic_raw").alias("_eic")))
     rows = rows.join(zones, "bzn", "inner")
-    out = rows.select(
-        *[F.col(f"_v.{n}").alias(n) for n, _ in VALUE_FIELDS],
+    value = {n: (F.when(F.col(f"_ok_{n}"), F.col(f"_v.{n}")) if n in complete else F.col(f"_v.{n}"))
+             for n in fields}
+    return rows.select(
+        *[value[n].alias(n) for n in fields],
         "Country", rstrip_tab("_eic").alias("EIC"), F.col("bzn").alias("BZN"),
         "stationContributions",
         T.epoch_millis_ntz(F.col("_v.datetime")).alias("datetime"),
-        (F.col("_seq") * DOC_ORDER_SPAN + F.col("_ix")).alias("ingest_order"),
-        "_doc")
-    if drop_null_columns:
-        out = drop_incomplete(out, ["_doc"], [n for n, _ in VALUE_FIELDS])
-    return out.drop("_doc")
+        (F.col("_seq") * DOC_ORDER_SPAN + F.col("_ix")).alias("ingest_order"))
 
 
 def missing_zones(docs: DataFrame) -> DataFrame:
