@@ -183,3 +183,16 @@ def test_build_star_twice(spark):
         assert_empty(duplicate_keys(spark.table(t), [key]), t)
     assert lake.columns_like(spark, "measurements_FACT", "production_quantity_%")[0] == \
         "production_quantity_biomass"
+
+
+def test_clean_layer_tables_and_previous_day(spark):
+    from voltlake.functions.timefn import previous_day_bounds
+    from voltlake.plans.star import build_clean_layer
+    from voltlake.sources import fixtures as fx
+    f = fx.feeds(spark, SF)
+    counts = build_clean_layer(spark, f)
+    assert counts["price_cleaned"] == f["price"].count()
+    assert spark.table("price_cleaned").filter("bzn IS NULL").count() == 0
+    s, e = previous_day_bounds("2024-12-06")
+    r = spark.range(1).select(s.alias("s"), e.alias("e")).first()
+    assert (r.s, r.e) == (dt.datetime(2024, 12, 5), dt.datetime(2024, 12, 5, 23))

@@ -186,3 +186,12 @@ def day_type(ts, holidays: list[str]) -> Column:
 def clamp_start(start, end, max_hours: int) -> Column:
     """start moved up to ``end - max_hours`` when the range is longer."""
     return F.greatest(_c(start), _c(end) - F.make_dt_interval(F.lit(0), F.lit(max_hours), F.lit(0), F.lit(0)))
+
+
+def previous_day_bounds(today) -> tuple[Column, Column]:
+    """The UTC day before ``today`` (a DATE column or 'yyyy-MM-dd'):
+    (midnight, 23:00) as TIMESTAMP_NTZ. ``today`` is an argument, not
+    ``current_date()``, so reruns are deterministic."""
+    d = F.date_sub(F.lit(today).cast("date") if isinstance(today, str) else today, 1)
+    start = d.cast("timestamp_ntz")
+    return start, start + F.expr("INTERVAL 23 HOURS")

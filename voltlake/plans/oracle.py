@@ -252,7 +252,8 @@ sec AS (SELECT s.bzn, min(s.datetime) AS second_datetime FROM s JOIN f ON s.bzn
         WHERE s.datetime > f.first_datetime GROUP BY s.bzn)
 SELECT f.bzn, f.first_datetime, sec.second_datetime,
        date_diff('second', f.first_datetime, sec.second_datetime) / 3600.0 AS interval_hours,
-       date_diff('second', f.first_datetime, sec.second_datetime) / 3600.0 <= 0.25 AS quarter_hourly
+       CAST(date_diff('second', f.first_datetime, sec.second_datetime) / 3600.0 <= 0.25 AS INTEGER)
+         AS quarter_hourly
 FROM f LEFT JOIN sec ON f.bzn = sec.bzn"""
 
 # --- dimensions --------------------------------------------------------------

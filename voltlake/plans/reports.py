@@ -185,7 +185,7 @@ def green_share_country(fact: DataFrame, hour=None, parity: bool = False,
 
 def sampling_interval(fact: DataFrame, bzn: str | None = None, start=None, end=None) -> DataFrame:
     """Hours between a zone's first two rows of the B3 series, and
-    whether the data is quarter-hourly (<= 0.25 h). Null with < 2 rows (T22).
+    whether the data is quarter-hourly (<= 0.25 h, as 0/1). Null with < 2 rows (T22).
 
     Two aggregations instead of a per-zone ``row_number`` window, so a zone
     with a third of all rows is reduced map-side, never sorted in one task.
@@ -204,4 +204,4 @@ def sampling_interval(fact: DataFrame, bzn: str | None = None, start=None, end=N
     return out.select("bzn", F.col("_first").alias("first_datetime"),
                       F.col("_second").alias("second_datetime"),
                       hours.alias("interval_hours"),
-                      (hours <= 0.25).alias("quarter_hourly"))
+                      (hours <= 0.25).cast("int").alias("quarter_hourly"))

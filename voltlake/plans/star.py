@@ -58,3 +58,17 @@ def build_star(spark: SparkSession, feeds: dict[str, DataFrame],
     lake.write_fact(fact)
     added["measurements_FACT"] = spark.table("measurements_FACT").count()
     return added
+
+
+def build_clean_layer(spark: SparkSession, feeds: dict[str, DataFrame]) -> dict[str, int]:
+    """The clean layer as tables — ``weather_cleaned`` (P1, already the
+    feed's shape) and the three zone-enriched feeds (J1), replaced per run."""
+    from voltlake.plans.clean import add_bzn
+    out = {"weather_cleaned": feeds["weather"]}
+    for name in ("price", "production", "consumption"):
+        out[f"{name}_cleaned"] = add_bzn(feeds[name], feeds["weather"])
+    counts = {}
+    for table, df in out.items():
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        counts[table] = spark.table(table).count()
+    return counts
