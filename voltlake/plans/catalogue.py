@@ -299,3 +299,9 @@ def q_consumption_cleaned(spark, sf_dir):
 def q_request_manifest(spark, sf_dir):
     from voltlake.operators.manifest import data_run_window, request_manifest
     return request_manifest(data_run_window(fx.read_events(spark, sf_dir)))
+
+
+@register("green_share_zone_hour_sql")
+def q_green_share_sql(spark, sf_dir):
+    from voltlake.plans import sql_reports
+    return sql_reports.green_share(measurements_fact(spark, sf_dir), decimals=DECIMALS)

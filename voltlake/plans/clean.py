@@ -1,5 +1,9 @@
-"""Clean layer (D8): weather projection (P1), zone enrichment (J1, J2),
+"""Clean layer (D8): weather projection (P1), zone enrichment (J1),
 per-document complete-column projection (P8).
+
+The superseded enrichment without DISTINCT (J2) is not provided: it joins
+every row to every weather row of its zone, i.e. emits all pairs inside a
+zone group; J1 is the enrichment the reference settled on.
 """
 
 from __future__ import annotations
@@ -49,21 +53,12 @@ def add_bzn(df: DataFrame, weather_cleaned: DataFrame, broadcast_cap: int | None
     return out.select(*[F.col(c) for c in df.columns], bzn.alias("bzn"))
 
 
-def add_bzn_fanout(df: DataFrame, weather_cleaned: DataFrame) -> DataFrame:
-    """The superseded enrichment without DISTINCT — every row repeats once
-    per weather row of its zone. Kept as a regression query; a shuffle join
-    (the weather side is not deduplicated, so it has no size bound)."""
-    w = weather_cleaned.select("eic_code", F.col("bzn").alias("_w_bzn"))
-    out = df.join(w, on="eic_code", how="left")
-    bzn = F.when(F.col("eic_code") == F.lit(POLAND_EIC), F.lit("PL")).otherwise(F.col("_w_bzn"))
-    return out.select(*[F.col(c) for c in df.columns], bzn.alias("bzn"))
-
-
 def drop_incomplete(df: DataFrame, by: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Within each document/location (``by``), a column holding any null
     is nulled for the whole group (the reference drops it from that file and
-    the later concat re-adds it as null). Columns null everywhere are then
-    dropped, as the concat of frames without them would."""
+    the later concat re-adds it as null). ``all_null_columns`` reports the
+    columns left without any value. The weather reader applies the same rule
+    per document without a window (see ``sources.weather_json``)."""
     cols = [c for c in (cols or df.columns) if c not in by]
     w = Window.partitionBy(*by)
     out = df.withColumns({

@@ -426,3 +426,5 @@ SELECT 'weather', z.bzn, 'locations', z.coords, NULL, NULL, NULL,
                 '%Y-%m-%d') || 'T00:00:00',
        strftime(r.e, '%Y-%m-%d') || 'T23:59:59'
 FROM run r CROSS JOIN zones z"""
+
+ORACLE["green_share_zone_hour_sql"] = ORACLE["green_share_zone_hour"]
