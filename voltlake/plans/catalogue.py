@@ -305,3 +305,19 @@ def q_request_manifest(spark, sf_dir):
 def q_green_share_sql(spark, sf_dir):
     from voltlake.plans import sql_reports
     return sql_reports.green_share(measurements_fact(spark, sf_dir), decimals=DECIMALS)
+
+
+@register("weather_all_null_columns")
+def q_weather_all_null_columns(spark, sf_dir):
+    from voltlake.plans.clean import all_null_columns
+    from voltlake.plans.fact import WEATHER_FACT_COLUMNS
+    w = _feeds(spark, sf_dir)["weather"]
+    cols = [c for c in WEATHER_FACT_COLUMNS if c not in ("country", "bzn")]
+    out = all_null_columns(w, cols)
+    return out.select(*[out[c].cast("int").alias(c) for c in cols])
+
+
+@register("weather_zone_pairs")
+def q_weather_zone_pairs(spark, sf_dir):
+    from voltlake.plans.clean import zone_pairs
+    return zone_pairs(_feeds(spark, sf_dir)["weather"])

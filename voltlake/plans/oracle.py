@@ -428,3 +428,8 @@ SELECT 'weather', z.bzn, 'locations', z.coords, NULL, NULL, NULL,
 FROM run r CROSS JOIN zones z"""
 
 ORACLE["green_share_zone_hour_sql"] = ORACLE["green_share_zone_hour"]
+
+_NULLABLE = [c for c in WEATHER_COLS if c not in ("country", "bzn")]
+ORACLE["weather_all_null_columns"] = with_feeds() + "\nSELECT " + ", ".join(
+    f"CAST(count({c}) = 0 AS INTEGER) AS {c}" for c in _NULLABLE) + " FROM weather_cleaned"
+ORACLE["weather_zone_pairs"] = with_feeds() + "\nSELECT DISTINCT eic_code, bzn FROM weather_cleaned"
