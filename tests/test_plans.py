@@ -46,3 +46,23 @@ def test_sql_reports_bind_parameters(spark):
     # an injected value is just a non-matching literal
     assert sql_reports.zone_series(fact, "EE' OR '1'='1", hours[0], hours[-1]).count() == 0
     fact.unpersist()
+
+
+@pytest.mark.parametrize("name", ["consumption_keep_first", "production_wide", "green_share_zone_hour",
+                                  "unit_dim", "condition_dim"])
+def test_aggregations_combine_before_shuffle(spark, name):
+    """Hot keys are collapsed map-side: every grouping runs a partial
+    aggregate below its exchange."""
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan, plan[:2000]
+
+
+def test_fact_rows_equal_weather_grid(spark):
+    from voltlake.plans import fact as fact_plan
+    from voltlake.sources import fixtures as fx
+    f = fx.feeds(spark, SF)
+    grid = fact_plan.weather_grid(f["weather"])
+    fact = fact_plan.build_fact(f["consumption"], f["production"], f["price"], f["weather"])
+    assert fact.count() == grid.count()
+    assert fact.filter("price IS NULL OR consumption_quantity IS NULL").count() == 0

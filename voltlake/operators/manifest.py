@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from voltlake.constants import REQUEST_FIELDS, REQUEST_WINDOW_DAYS, WEATHER_MAX_HOURS, ZONES
 from voltlake.functions import timefn as T
+from voltlake.operators.lookup import sql_literal
 
 MANIFEST_COLUMNS = ["feed", "bzn", "zone_param", "zone_value", "document_type", "process_type",
                     "contract_type", "period_start", "period_end"]
@@ -33,8 +34,10 @@ def window_starts(start: Column, end_exclusive: Column, days: int = REQUEST_WIND
 
 
 def _zone_array(zones: Sequence[tuple]) -> Column:
-    return F.array(*[F.struct(F.lit(z[2]).alias("bzn"), F.lit(z[1]).alias("eic"),
-                              F.lit(f"{z[3]},{z[4]}").alias("coords")) for z in zones])
+    items = ", ".join(
+        f"named_struct('bzn', {sql_literal(z[2])}, 'eic', {sql_literal(z[1])}, "
+        f"'coords', {sql_literal(f'{z[3]},{z[4]}')})" for z in zones)
+    return F.expr(f"array({items})")
 
 
 def request_manifest(run_window: DataFrame, zones: Sequence[tuple] = ZONES,
@@ -45,13 +48,12 @@ def request_manifest(run_window: DataFrame, zones: Sequence[tuple] = ZONES,
     (start_date, end_date) of DATE."""
     start = F.col("start_date").cast("timestamp_ntz")
     end = F.col("end_date").cast("timestamp_ntz")
-    feeds = F.array(*[
-        F.struct(F.lit(feed).alias("feed"), F.lit(f["documentType"]).alias("document_type"),
-                 F.lit(f.get("processType")).cast("string").alias("process_type"),
-                 F.lit(f.get("contract_MarketAgreement.type")).cast("string").alias("contract_type"),
-                 F.lit(f["zone_param"]).alias("zone_param"),
-                 F.lit(1 if INCLUSIVE_END[feed] else 0).alias("incl"))
-        for feed, f in REQUEST_FIELDS.items()])
+    feeds = F.expr("array(" + ", ".join(
+        f"named_struct('feed', {sql_literal(feed)}, 'document_type', {sql_literal(f['documentType'])}, "
+        f"'process_type', CAST({sql_literal(f.get('processType'))} AS STRING), "
+        f"'contract_type', CAST({sql_literal(f.get('contract_MarketAgreement.type'))} AS STRING), "
+        f"'zone_param', {sql_literal(f['zone_param'])}, 'incl', {1 if INCLUSIVE_END[feed] else 0})"
+        for feed, f in REQUEST_FIELDS.items()) + ")")
     per_feed = run_window.select(start.alias("s"), end.alias("e"), F.explode(feeds).alias("f"))
     per_feed = per_feed.withColumn("e_ex", F.col("e") + T.minutes(F.col("f.incl") * 1440))
     win = per_feed.select("f", "e_ex", F.explode(window_starts(F.col("s"), F.col("e_ex"), days)).alias("ws"))

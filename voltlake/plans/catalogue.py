@@ -28,13 +28,30 @@ def register(name: str):
     return deco
 
 
+# Plan objects (not data) are reused per session and folder: building the wide
+# fact plan in Python costs seconds of driver time, and a dozen queries start
+# from it. Every execution still scans and computes from the tables.
+_PLANS: dict[tuple, object] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    key = (kind, id(spark), sf_dir)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
+
+
 def _feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fx.feeds(spark, sf_dir)
+    return _memo("feeds", spark, sf_dir, lambda: fx.feeds(spark, sf_dir))
 
 
 def measurements_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _feeds(spark, sf_dir)
-    return fact_plan.build_fact(f["consumption"], f["production"], f["price"], f["weather"])
+    def build():
+        f = _feeds(spark, sf_dir)
+        return fact_plan.build_fact(f["consumption"], f["production"], f["price"], f["weather"])
+    return _memo("fact", spark, sf_dir, build)
 
 
 # --- lake feeds (S3-S5, S7 outputs over the adapters) ------------------------
