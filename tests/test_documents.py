@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from voltlake.sources.breakdown import breakdown_frame, breakdown_range

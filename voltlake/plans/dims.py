@@ -18,7 +18,7 @@ from voltlake.constants import (BZN_TO_COUNTRY, CONDITION_HEADER_EXCLUDES, CONDI
                                 DEFAULT_HOLIDAYS, ENERGY_CLASSES, QUARTER_HOUR_COUNTRIES,
                                 UNITS, WEATHER_UNIT_LITERALS)
 from voltlake.functions import timefn as T
-from voltlake.functions.textfn import py_strip, split_trim
+from voltlake.functions.textfn import split_trim
 from voltlake.operators.dedupe import INGEST_ORDER
 from voltlake.operators.keys import existing_count, insert_if_absent, sequential_ids
 from voltlake.operators.lookup import lookup, lookup_or

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from voltlake.constants import ENERGY_TYPES, production_column
 from voltlake.operators.asof import ffill_grid
 from voltlake.operators.dedupe import INGEST_ORDER, keep_first, pivot_first
-from voltlake.operators.joins import merge_feeds
+from voltlake.operators.joins import full_outer_merge, merge_feeds
 
 KEYS = ["eic_code", "datetime"]
 WEATHER_FACT_COLUMNS = [
@@ -86,7 +86,6 @@ def build_fact_full_outer(consumption: DataFrame, production: DataFrame, price:
     """J3 exactly as the reference writes it: three full outer merges in
     feed order, then N1 and the zone filter. Equal to ``build_fact`` (T6);
     kept as its own query to prove the rewrite."""
-    from voltlake.operators.joins import full_outer_merge
     c = consumption_keyed(consumption)
     p = production_wide(production, energy_types)
     pr = price_grid(price, step_minutes)

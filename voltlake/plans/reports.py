@@ -7,6 +7,7 @@ the hour predicate is the half-open range form of ``date_trunc`` (F4).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,15 +17,16 @@ from pyspark.sql import functions as F
 from voltlake.constants import (BZN_TO_COUNTRY, GREEN_SOURCES, WEATHER_OPTIONS,
                                 dashboard_column, production_column)
 from voltlake.functions import timefn as T
+from voltlake.operators.lookup import lookup
+from voltlake.sources.lake import like_to_regex
 
 PRODUCTION_PREFIX = "production_quantity_"
 
 
 def production_columns(df: DataFrame, pattern: str = "production_quantity_%") -> list[str]:
     """Columns matching a LIKE pattern ('_' and '%' are wildcards)."""
-    import re
-    rx = "^" + "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in pattern) + "$"
-    return [c for c in df.columns if re.match(rx, c)]
+    rx = re.compile(like_to_regex(pattern))
+    return [c for c in df.columns if rx.match(c)]
 
 
 def split_green(cols: Sequence[str], parity: bool = False) -> tuple[list[str], list[str]]:
@@ -111,7 +113,6 @@ def overlay(fact: DataFrame, bzn: str | None = None, measures: Sequence[str] | N
     df = fact if bzn is None else fact.filter(F.col("bzn") == F.lit(bzn))
     long = df.select("bzn", "datetime", *[F.col(c).cast("double").alias(lbl) for lbl, c, _ in options]) \
         .unpivot(["bzn", "datetime"], [lbl for lbl, _, _ in options], "measure", "value")
-    from voltlake.operators.lookup import lookup
     return long.withColumn("unit", lookup("measure", [(lbl, u) for lbl, _, u in options]))
 
 
@@ -147,7 +148,6 @@ def green_share(fact: DataFrame, hour=None, parity: bool = False,
 
 
 def bzn_country(bzn) -> Column:
-    from voltlake.operators.lookup import lookup
     return lookup(bzn, BZN_TO_COUNTRY)
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.constants import ENERGY_TYPES, ZONES
+from voltlake.constants import ENERGY_TYPES, ZONES, production_column
 from voltlake.functions import timefn as T
 from voltlake.operators.lookup import lookup
 from voltlake.sources.fixtures import EVENT_PSR, landed_points
@@ -101,8 +101,7 @@ WEATHER_VALUE_FIELDS = ["mint", "maxt", "temp", "dew", "humidity", "wspd", "wdir
 def weather_documents(weather_data: DataFrame, max_points: int = MAX_POINTS) -> DataFrame:
     """Weather JSON per zone, day and bucket: ``locations.{"lat,lon"}`` with
     ``values`` (epoch-ms ``datetime``) and ``stationContributions``."""
-    from voltlake.constants import ZONES as _Z
-    latlon = lookup("BZN", [(z[2], f"{z[3]},{z[4]}") for z in _Z])
+    latlon = lookup("BZN", [(z[2], f"{z[3]},{z[4]}") for z in ZONES])
     w = weather_data.select("BZN", F.to_date("datetime").alias("day"), _bucket(max_points),
                             latlon.alias("latlon"),
                             F.struct(T.ntz_to_epoch_millis("datetime").alias("datetime"),
@@ -124,7 +123,6 @@ def breakdown_documents(production_wide: DataFrame, consumption_keyed: DataFrame
     """Power-breakdown JSON per zone and day: ``history[]`` of
     {datetime, powerConsumptionBreakdown, powerProductionBreakdown}.
     Input is one row per (zone, datetime), so a day holds <= 96 entries."""
-    from voltlake.constants import production_column
     bzn = lookup("eic_code", [(z[1], z[2]) for z in ZONES])
     prod_map = F.map_from_entries(F.filter(F.array(*[
         F.struct(F.lit(production_column(t)[len("production_quantity_"):]).alias("k"),
