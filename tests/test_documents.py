@@ -167,6 +167,17 @@ def test_weather_null_column_and_contributions(spark):
     assert "EE" not in missing and "PL" not in missing and len(missing) == 15
 
 
+def test_weather_extra_fields(spark):
+    from voltlake.sources.weather_json import EXTRA_FIELDS, VALUE_FIELDS
+    v = [{"datetime": 1733356800000, "temp": 1.0, "snowdepth": 2.0, "cloudcover": 50.0},
+         {"datetime": 1733360400000, "temp": 2.0, "snowdepth": None, "cloudcover": 60.0}]
+    docs = spark.createDataFrame([("EE", weather_body(v))], "bzn string, body string")
+    rows = parse_weather(docs, value_fields=VALUE_FIELDS + EXTRA_FIELDS).collect()
+    assert sorted(r.cloudcover for r in rows) == [50.0, 60.0]
+    assert all(r.snowdepth is None for r in rows)      # a null in this document nulls the column (P8)
+    assert all(r.wgust is None for r in rows)
+
+
 def test_weather_bad_status_raises(spark):
     docs = spark.createDataFrame([("EE", weather_body([]), 429)], "bzn string, body string, status int")
     with pytest.raises(Exception, match="Failed to fetch weather data"):

@@ -25,11 +25,18 @@ VALUE_FIELDS = [
     ("visibility", "DOUBLE"), ("solarenergy", "DOUBLE"), ("solarradiation", "DOUBLE"),
     ("sealevelpressure", "DOUBLE"), ("stationinfo", "STRING"), ("conditions", "STRING"),
 ]
-WEATHER_SCHEMA = (
-    "locations MAP<STRING, STRUCT<values: ARRAY<STRUCT<datetime: BIGINT, "
-    + ", ".join(f"{n}: {t}" for n, t in VALUE_FIELDS)
-    + ">>, stationContributions: STRING>>"
-)
+# Further API fields a caller may ask for (``value_fields``), e.g. cloud cover.
+EXTRA_FIELDS = [("cloudcover", "DOUBLE"), ("snowdepth", "DOUBLE"), ("wgust", "DOUBLE"),
+                ("windchill", "DOUBLE"), ("heatindex", "DOUBLE"), ("snow", "DOUBLE")]
+
+
+def weather_schema(fields=VALUE_FIELDS) -> str:
+    return ("locations MAP<STRING, STRUCT<values: ARRAY<STRUCT<datetime: BIGINT, "
+            + ", ".join(f"{n}: {t}" for n, t in fields)
+            + ">>, stationContributions: STRING>>")
+
+
+WEATHER_SCHEMA = weather_schema()
 DOC_ORDER_SPAN = 1_000_000
 
 
@@ -45,21 +52,24 @@ def require_ok(docs: DataFrame, status_col: str = "status", body_col: str = "bod
     ).otherwise(F.col(body_col)))
 
 
-def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bool = True) -> DataFrame:
+def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bool = True,
+                  value_fields=VALUE_FIELDS) -> DataFrame:
     """``weather_data`` rows: API value fields + Country, EIC, BZN,
     stationContributions (JSON text, '{}' when absent), datetime (NTZ).
 
     ``docs`` needs ``bzn`` (zone the file was fetched for); an optional
     ``doc_seq`` gives the document order, making ``ingest_order`` =
     doc_seq * 10^6 + position of the value in its document.
+    ``value_fields`` lists the (name, SQL type) value fields to read; fields
+    absent from a document are null (as the union of per-file frames).
     """
     spark = docs.sparkSession
     d = require_ok(docs, body_col=body_col)
     seq = F.col("doc_seq") if "doc_seq" in d.columns else F.lit(0)
     d = d.select("bzn", seq.cast("long").alias("_seq"),
-                 F.from_json(F.col(body_col), WEATHER_SCHEMA).alias("_d"))
+                 F.from_json(F.col(body_col), weather_schema(value_fields)).alias("_d"))
     loc = F.map_values(F.col("_d.locations"))[0]
-    fields = [n for n, _ in VALUE_FIELDS]
+    fields = [n for n, _ in value_fields]
     # P8 per document, before the explode: a field with any null in this
     # document's values is nulled for the whole document (no shuffle needed,
     # a document is one row here)
