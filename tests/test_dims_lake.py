@@ -196,3 +196,25 @@ def test_clean_layer_tables_and_previous_day(spark):
     s, e = previous_day_bounds("2024-12-06")
     r = spark.range(1).select(s.alias("s"), e.alias("e")).first()
     assert (r.s, r.e) == (dt.datetime(2024, 12, 5), dt.datetime(2024, 12, 5, 23))
+
+
+def test_fact_table_day_partitions_are_pruned(spark):
+    import datetime as _dt
+
+    from voltlake.plans import reports
+    from voltlake.plans.catalogue import measurements_fact
+    spark.sql("DROP TABLE IF EXISTS fact_pruned")
+    fact = measurements_fact(spark, SF)
+    lake.write_fact(fact, "fact_pruned")
+    t = spark.table("fact_pruned")
+    assert "day" in t.columns and t.count() == fact.count()
+    start, end = _dt.datetime(2024, 1, 3, 0, 0), _dt.datetime(2024, 1, 4, 23, 45)
+    s = reports.zone_series(t, "EE", start, end, order=False)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan.split("PartitionFilters:")[1]
+    assert "PushedFilters: [IsNotNull(bzn)" in plan
+    base = reports.zone_series(fact, "EE", start, end, order=False)
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, base.collect()))
+    h = reports.available_hours(t).collect()[7].hourly_datetime
+    assert sorted(map(tuple, reports.green_share(t, hour=h).drop("hourly_datetime").collect())) == \
+        sorted(map(tuple, reports.green_share(fact, hour=h).drop("hourly_datetime").collect()))

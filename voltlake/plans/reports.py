@@ -58,6 +58,16 @@ def _round(c: Column, decimals: int | None) -> Column:
     return F.round(c, decimals) if decimals is not None else c
 
 
+def _day_filter(df: DataFrame, op: str, value) -> DataFrame:
+    """On a day-partitioned fact table, restate a time predicate on the
+    partition column so only the matching day folders are listed and read."""
+    if "day" not in df.columns:
+        return df
+    d = F.to_date(F.lit(str(value)).cast("timestamp_ntz"))
+    cond = {">=": F.col("day") >= d, "<=": F.col("day") <= d, "=": F.col("day") == d}[op]
+    return df.filter(cond)
+
+
 # --- B1 / B2 -----------------------------------------------------------------
 
 def zone_list(fact: DataFrame) -> DataFrame:
@@ -84,9 +94,11 @@ def zone_series(fact: DataFrame, bzn: str | None = None, start=None, end=None,
     if bzn is not None:
         df = df.filter(F.col("bzn") == F.lit(bzn))
     if start is not None:
-        df = df.filter(F.col("datetime") >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(F.col("datetime") >= F.lit(str(start)).cast("timestamp_ntz"))
+        df = _day_filter(df, ">=", start)
     if end is not None:
-        df = df.filter(F.col("datetime") <= F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(F.col("datetime") <= F.lit(str(end)).cast("timestamp_ntz"))
+        df = _day_filter(df, "<=", end)
     keep = ([] if bzn is not None else ["bzn"]) + ["datetime", "consumption_quantity", *prods, "price", *weather]
     df = df.select(*keep).filter(F.col("consumption_quantity") > 0)
     return df.orderBy(*(["bzn"] if bzn is None else []), "datetime") if order else df
@@ -131,7 +143,7 @@ def green_share(fact: DataFrame, hour=None, parity: bool = False,
     hour_col = T.trunc_hour("datetime")
     df = fact
     if hour is not None:
-        df = df.filter(T.hour_range("datetime", hour))
+        df = _day_filter(df.filter(T.hour_range("datetime", hour)), "=", hour)
     g = df.groupBy("bzn", hour_col.alias("hourly_datetime")).agg(
         F.sum(_plus(green)).alias("green_energy"),
         F.sum(_plus(other)).alias("non_green_energy"),

@@ -37,10 +37,13 @@ def zone_series(fact: DataFrame, bzn: str, start: str, end: str) -> DataFrame:
     """B3 with bound zone and inclusive time range."""
     cols = ", ".join(["datetime", "consumption_quantity", *[f"`{c}`" for c in production_columns(fact)],
                       "price", *[c for _, c, _ in WEATHER_OPTIONS]])
+    # on the day-partitioned table the range is restated on the partition column
+    day = ("AND day BETWEEN to_date(CAST(:t0 AS TIMESTAMP_NTZ)) AND to_date(CAST(:t1 AS TIMESTAMP_NTZ)) "
+           if "day" in fact.columns else "")
     return fact.sparkSession.sql(
         f"SELECT {cols} FROM {{fact}} "
         "WHERE bzn = :bzn AND datetime BETWEEN CAST(:t0 AS TIMESTAMP_NTZ) AND CAST(:t1 AS TIMESTAMP_NTZ) "
-        "AND consumption_quantity > 0 ORDER BY datetime",
+        f"{day}AND consumption_quantity > 0 ORDER BY datetime",
         args={"bzn": bzn, "t0": str(start), "t1": str(end)}, fact=fact)
 
 

@@ -192,22 +192,31 @@ def create_dims(spark: SparkSession, ddl: Mapping[str, str] = DIM_DDL) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet")
 
 
-def write_fact(df: DataFrame, table: str = "measurements_FACT", cluster: bool = True) -> None:
+def write_fact(df: DataFrame, table: str = "measurements_FACT", cluster: bool = True,
+               partition_by_day: bool = True) -> None:
     """Register as a view, replace the table from it, drop the view.
 
-    ``cluster``: rows are range-partitioned and sorted by (bzn, datetime)
-    before writing, so each file covers a narrow zone/time range and the
-    dashboard's ``bzn = ?`` and time-range predicates skip files and row
-    groups by their min/max statistics. Range partitioning (sampled bounds)
-    keeps files even when one zone holds most rows, which hashing on the
-    17-valued zone would not.
+    ``partition_by_day``: the table is partitioned by ``day`` (the date of
+    ``datetime``); the dashboard reports add a ``day`` predicate derived from
+    their time filter, so a time range reads only its day folders.
+    ``cluster``: rows are range-partitioned by (day, bzn, datetime) and
+    sorted within files, so ``bzn = ?`` and time predicates also skip row
+    groups by their min/max statistics; range bounds keep files even when one
+    zone holds most rows (hashing the 17-valued zone would not).
     """
     view = "temp_merged_df"
     df.createOrReplaceTempView(view)
     out = df.sparkSession.table(view)
+    parts = []
+    if partition_by_day and "datetime" in out.columns:
+        out = out.withColumn("day", F.to_date("datetime"))
+        parts = ["day"]
     if cluster and {"bzn", "datetime"} <= set(out.columns):
-        out = out.repartitionByRange("bzn", "datetime").sortWithinPartitions("bzn", "datetime")
-    out.write.mode("overwrite").format("parquet").saveAsTable(table)
+        out = out.repartitionByRange(*parts, "bzn", "datetime").sortWithinPartitions(*parts, "bzn", "datetime")
+    w = out.write.mode("overwrite").format("parquet")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.saveAsTable(table)
     df.sparkSession.catalog.dropTempView(view)
 
 
