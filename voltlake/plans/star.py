@@ -36,28 +36,43 @@ def _upsert(spark: SparkSession, table: str, rows: DataFrame) -> int:
 
 def build_star(spark: SparkSession, feeds: dict[str, DataFrame],
                calendar: tuple[str, str] = ("2024-12-01 00:00:00", "2024-12-31 23:59:00"),
-               holidays=dims.DEFAULT_HOLIDAYS) -> dict[str, int]:
+               holidays=dims.DEFAULT_HOLIDAYS, parallel: bool = True) -> dict[str, int]:
     """Create the tables if missing, add new dimension rows, replace the fact.
-    Returns the number of rows added per table (fact: rows written)."""
+    Returns the number of rows added per table (fact: rows written).
+
+    The five dimensions are independent jobs; with ``parallel`` they are
+    submitted from separate driver threads and run side by side with the
+    fact, as the reference runs its feed chains in parallel.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     ensure_checkpoint_dir(spark)
     lake.create_dims(spark)
     c, p, pr, w = feeds["consumption"], feeds["production"], feeds["price"], feeds["weather"]
-    added = {}
-    added["unit_DIMEN"] = _upsert(spark, "unit_DIMEN", dims.build_unit_dim(
-        c, pr, p, _existing(spark, "unit_DIMEN")))
-    added["weather_condition_DIMEN"] = _upsert(spark, "weather_condition_DIMEN", dims.build_condition_dim(
-        w, _existing(spark, "weather_condition_DIMEN")))
-    added["energy_type_DIMEN"] = _upsert(spark, "energy_type_DIMEN", dims.build_energy_dim(
-        p, _existing(spark, "energy_type_DIMEN")))
-    added["bidding_zone_DIMEN"] = _upsert(spark, "bidding_zone_DIMEN", dims.build_zone_dim(
-        spark, _existing(spark, "bidding_zone_DIMEN")))
-    bounds = dims.calendar_bounds(spark, *calendar)
-    added["timestamp_DIMEN"] = _upsert(spark, "timestamp_DIMEN", dims.build_timestamp_dim(
-        bounds, holidays=holidays, existing=_existing(spark, "timestamp_DIMEN")))
-    fact = build_fact(c, p, pr, w)
-    lake.write_fact(fact)
-    added["measurements_FACT"] = spark.table("measurements_FACT").count()
-    return added
+    builders = {
+        "unit_DIMEN": lambda ex: dims.build_unit_dim(c, pr, p, ex),
+        "weather_condition_DIMEN": lambda ex: dims.build_condition_dim(w, ex),
+        "energy_type_DIMEN": lambda ex: dims.build_energy_dim(p, ex),
+        "bidding_zone_DIMEN": lambda ex: dims.build_zone_dim(spark, ex),
+        "timestamp_DIMEN": lambda ex: dims.build_timestamp_dim(
+            dims.calendar_bounds(spark, *calendar), holidays=holidays, existing=ex),
+    }
+
+    def run_dim(table: str) -> int:
+        return _upsert(spark, table, builders[table](_existing(spark, table)))
+
+    def run_fact() -> int:
+        lake.write_fact(build_fact(c, p, pr, w))
+        return spark.table("measurements_FACT").count()
+
+    if not parallel:
+        added = {t: run_dim(t) for t in builders}
+        added["measurements_FACT"] = run_fact()
+        return added
+    with ThreadPoolExecutor(max_workers=len(builders) + 1) as pool:
+        futures = {t: pool.submit(run_dim, t) for t in builders}
+        futures["measurements_FACT"] = pool.submit(run_fact)
+        return {t: f.result() for t, f in futures.items()}
 
 
 def build_clean_layer(spark: SparkSession, feeds: dict[str, DataFrame]) -> dict[str, int]:
