@@ -33,25 +33,23 @@ def ffill_grid(df: DataFrame, keys: Sequence[str], ts: str = "datetime",
     """
     keys = list(keys)
     chunk = "_chunk"
-    obs = df.filter(F.col(ts).isNotNull()).withColumn(chunk, F.to_date(ts))
-
-    w_in = Window.partitionBy(*keys, chunk).orderBy(ts)
-    obs = obs.withColumn("_next_in_chunk", F.lead(ts).over(w_in))
+    q = f"`{ts}`"
+    w_in = Window.partitionBy(*keys, F.to_date(ts)).orderBy(ts)
+    obs = df.filter(F.col(ts).isNotNull()).select(
+        *df.columns, F.to_date(ts).alias(chunk), F.lead(ts).over(w_in).alias("_next_in_chunk"))
 
-    firsts = obs.groupBy(*keys, chunk).agg(F.min(ts).alias("_first"))
     w_chunks = Window.partitionBy(*keys).orderBy(chunk)
-    nexts = firsts.select(*keys, chunk, F.lead("_first").over(w_chunks).alias("_next_chunk"))
+    nexts = obs.groupBy(*keys, chunk).agg(F.min(ts).alias("_first")) \
+        .select(*keys, chunk, F.lead("_first").over(w_chunks).alias("_next_chunk"))
 
-    obs = obs.join(nexts, on=[*keys, chunk], how="left")
-    q = f"`{ts}`"
     nxt = "coalesce(_next_in_chunk, _next_chunk)"
     start = T.sql_ceil_minutes(q, step_minutes)
     end = (f"CASE WHEN {nxt} IS NULL THEN {T.sql_floor_minutes(q, step_minutes)} "
            f"ELSE {T.sql_ceil_minutes(nxt, step_minutes)} - {T.sql_minutes(int(step_minutes))} END")
-    slots = F.expr(f"CASE WHEN {start} <= {end} THEN "
-                   f"sequence({start}, {end}, INTERVAL {int(step_minutes)} MINUTES) END")
-    out = obs.select(*[c for c in df.columns if c != ts], F.explode(slots).alias("_slot"))
-    return out.select(*[F.col("_slot").alias(c) if c == ts else F.col(c) for c in df.columns])
+    slots = F.expr(f"explode(CASE WHEN {start} <= {end} THEN "
+                   f"sequence({start}, {end}, INTERVAL {int(step_minutes)} MINUTES) END)")
+    return obs.join(nexts, on=[*keys, chunk], how="left").select(
+        *[slots.alias(c) if c == ts else F.col(c) for c in df.columns])
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], partition: Sequence[str], order: str) -> DataFrame:
