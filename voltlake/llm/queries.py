@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltlake.llm import bpe
+from voltlake.llm import bpe, langid
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,10 @@ def register(name: str):
 @register("op1_byte_bpe")
 def op1_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@register("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.learn(docs))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
