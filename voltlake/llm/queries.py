@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid
+from voltlake.llm import bpe, langid, simhash
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,9 @@ def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, langid.learn(docs))
     return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark, sf_dir):
+    out = simhash.near_copies(table(spark, sf_dir, "documents"), words=3, bits=2)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
