@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, simhash
+from voltlake.llm import bpe, langid, packing, simhash
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op9_language_id(spark, sf_dir):
 def op5_simhash_near_dedup(spark, sf_dir):
     out = simhash.near_copies(table(spark, sf_dir, "documents"), words=3, bits=2)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op2_best_fit_packing")
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
