@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, simhash
+from voltlake.llm import bpe, langid, packing, simhash, substring
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op5_simhash_near_dedup(spark, sf_dir):
 @register("op2_best_fit_packing")
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op8_substring_dedup")
+def op8_substring_dedup(spark, sf_dir):
+    return substring.digests(table(spark, sf_dir, "documents"))
