@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, simhash, substring
+from voltlake.llm import bpe, langid, packing, simhash, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,11 @@ def op2_best_fit_packing(spark, sf_dir):
 @register("op8_substring_dedup")
 def op8_substring_dedup(spark, sf_dir):
     return substring.digests(table(spark, sf_dir, "documents"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence")
