@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, simhash, substring, toxicity
+from voltlake.llm import bpe, langid, packing, pii, simhash, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op7_toxicity(spark, sf_dir):
     out = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", langid.held_out().alias("held_out"), "score",
                       F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence")
+
+
+@register("op3_personal_data")
+def op3_personal_data(spark, sf_dir):
+    return pii.detect(table(spark, sf_dir, "documents"), pii.train())
