@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, pii, simhash, substring, toxicity
+from voltlake.llm import bpe, langid, packing, pii, secrets, simhash, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op7_toxicity(spark, sf_dir):
 @register("op3_personal_data")
 def op3_personal_data(spark, sf_dir):
     return pii.detect(table(spark, sf_dir, "documents"), pii.train())
+
+
+@register("op6_secret_scan")
+def op6_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.train(spark))
