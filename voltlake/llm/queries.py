@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, pii, secrets, simhash, substring, toxicity
+from voltlake.llm import bpe, langid, packing, pii, secrets, simhash, spotsigs, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op3_personal_data(spark, sf_dir):
 @register("op6_secret_scan")
 def op6_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.train(spark))
+
+
+@register("op4_spot_signatures")
+def op4_spot_signatures(spark, sf_dir):
+    return spotsigs.report(table(spark, sf_dir, "documents"))
