@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, langid, packing, pii, secrets, simhash, spotsigs, substring, toxicity
+import corpus_pipeline
+from voltlake.llm import bpe, embedding, langid, packing, pii, secrets, simhash, spotsigs, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,13 @@ def op6_secret_scan(spark, sf_dir):
 @register("op4_spot_signatures")
 def op4_spot_signatures(spark, sf_dir):
     return spotsigs.report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_embedding_near_dedup")
+def op10_embedding_near_dedup(spark, sf_dir):
+    return embedding.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
