@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows handed to Python at once; texts in them are cut into chunks of CHUNK_BYTES.
@@ -30,6 +30,16 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def whole_rows(df: DataFrame, but: str | None = None) -> Column:
+    """All columns of df, or all but one, as one, so that columns an operator adds can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c != but] or [F.lit(True)])
+
+
+def rows_again(df: DataFrame, row: str, columns: list[str], changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of whole_rows(), some with other values."""
+    return df.select(*[(changed or {}).get(c, F.col(row).getField(c)).alias(c) for c in columns])
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Hand smaller batches to Python than the default, unless the session asks for fewer rows still."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

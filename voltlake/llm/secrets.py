@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltlake.llm.common import rows_again, whole_rows
+
 TREES, DEPTH, SEED = 40, 7, 11
 LEAST = 0.5
 
@@ -181,20 +183,19 @@ def scan(df: DataFrame, model: RandomForestClassificationModel, id_col: str = "d
 
 def redact(df: DataFrame, model: RandomForestClassificationModel, text_col: str = "text", mark: str = "<secret>") -> DataFrame:
     """df with every secret of the text replaced by ``mark``; rows without candidates aren't shuffled."""
-    text = F.col(text_col).cast("string")
+    text = F.col("text")
+    base = df.select(whole_rows(df, but=text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
     has = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    own = df.withColumn("_key", F.sha2(text, 256))  # equal texts have equal findings
-    some = own.where(has)
-    rows = some.groupBy("_key").agg(F.first(text).alias("_text")).select("_key", F.explode(candidates(F.col("_text"))).alias("c")).select("_key", "c.*")
-    found = _scored(rows, model).where(F.col("score") >= LEAST).groupBy("_key") \
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    some = base.where(has).withColumn("key", F.sha2("text", 256))  # equal texts have equal findings
+    rows = some.groupBy("key").agg(F.first("text").alias("text")).select("key", F.explode(candidates(text)).alias("c")).select("key", "c.*")
+    found = _scored(rows, model).where(F.col("score") >= LEAST).groupBy("key") \
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def cut(acc: Column, s: Column) -> Column:
         return F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"), s["end"].alias("at"))
 
-    clean = F.aggregate("_spans", start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    marked = some.join(found, "_key", "left").withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(clean))
-    return marked.select(*df.columns).unionByName(own.where(~has).select(*df.columns))
-
-
+    clean = F.aggregate("spans", start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    marked = some.join(found, "key", "left")
+    now = F.when(F.col("spans").isNull(), text).otherwise(clean)
+    return rows_again(marked, "row", df.columns, {text_col: now}).union(rows_again(base.where(~has), "row", df.columns, {text_col: text}))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import id_text, saved, text_chunks
+from voltlake.llm.common import id_text, rows_again, saved, text_chunks, whole_rows
 from voltlake.llm.components import components
 
 SEED = 42
@@ -185,7 +185,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[np
 
 
 def near_links(fps: DataFrame, bits: int = 2, tile: int = TILE) -> DataFrame:
-    """(a, b): links between the distinct numbers of column fp, as forests that span every linked group."""
+    """(a, b): a forest that spans every linked group of the distinct numbers of column fp. Its ends are reachable
+    from each other through links; they needn't link themselves."""
     if not 0 <= bits <= 2:
         raise ValueError("two equal quarters are certain for up to 2 differing bits")
     quarter = [F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF)) for q in range(4)]
@@ -226,8 +227,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """The rows of df with one row of each group of near copies: that with the least id, whole rows compared
     among equal ids. All columns as they are; rows with a null id stay."""
     groups = near_copies(df, id_col, text_col, words, bits)
-    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = df.join(firsts, F.col(id_col).cast("long") == F.col("_kept_id"), "left_semi")
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    single = kept.groupBy(F.col(id_col).alias("_kept_id")).agg(F.min(whole).alias("_row")).select("_row.*")
-    return single.unionByName(df.where(F.col(id_col).isNull()))
+    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), whole_rows(df).alias("row"))
+    kept = rows.join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
+    return rows_again(kept.union(rows.where("doc_id is null").select("row")), "row", df.columns)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import bound_batches, saved, text_chunks
+from voltlake.llm.common import bound_batches, rows_again, saved, text_chunks, whole_rows
 
 WINDOW = 35
 #: Size of the bitmaps that thin out what is shuffled: 16 MB, whatever the input.
@@ -287,7 +287,8 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 def remove_repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """df with repeated passages taken out of the text; a text that loses none stays as it is, one that does
     has its kept words joined by single blanks."""
-    hit, rest = _split(df, text_col, window)
+    rows = df.select(whole_rows(df, but=text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    hit, rest = _split(rows, "text", window)
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, starts: pd.Series, wholes: pd.Series) -> pd.Series:
@@ -298,5 +299,5 @@ def remove_repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW)
             out.append(b" ".join([x for x, d in zip(words, drop.tolist(), strict=True) if not d]).decode() if drop.any() else t)
         return pd.Series(out, dtype=object)
 
-    cut = hit.withColumn(text_col, kept(F.col(text_col).cast("string"), "_starts", "_whole"))
-    return cut.select(*df.columns).unionByName(rest.select(*df.columns))
+    cut = hit.withColumn("text", kept("text", "_starts", "_whole"))
+    return rows_again(cut, "row", df.columns, {text_col: F.col("text")}).union(rows_again(rest, "row", df.columns, {text_col: F.col("text")}))

@@ -76,7 +76,7 @@ def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
     counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {k: min(1.0, sample / n) for k, n in counts.items()}
     spot = F.pmod(F.xxhash64(F.lit("example"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.create_map(*[F.lit(v) for k in share for v in (k, share[k])])[F.col("toxic")] if share else F.lit(0.0)
+    rate = F.create_map(*[F.lit(v) for k in share for v in (k, share[k])])[F.col("toxic")] if share else F.lit(1.0)
     chosen = marked.where(spot < rate).select("id", "toxic", (1 / rate).alias("weight"))
     rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")) \
         .select("id", "text", "toxic", "weight")  # the broadcast side has about 2 * sample rows
