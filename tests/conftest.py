@@ -17,6 +17,7 @@ def spark():
     s = build_session("local[4]", shuffle_partitions=8, extra={
         "spark.sql.warehouse.dir": warehouse,
         "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="voltlake-ckpt-"),
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -7,9 +7,6 @@ results do not depend on the session zone; UTC is still set for readability.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings applied to sessions this package creates. On a cluster these belong
@@ -39,16 +36,15 @@ def build_session(master: str | None = None, app: str = "voltlake",
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Set and return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and it is used as is. Only when the
-    setting is absent (local tests) a scratch folder is created and set.
+    There is no fallback: a folder of one machine would lose the data with it,
+    so a session without the setting is an error. Tests and the benchmark name
+    a scratch folder of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +53,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="voltlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
