@@ -31,10 +31,6 @@ def slug(s) -> Column:
     return F.translate(F.lower(_c(s)), " -/", "___")
 
 
-def production_slug(s) -> Column:
-    return F.concat(F.lit("production_quantity_"), slug(s))
-
-
 def weather_file_name(bzn, start, end) -> Column:
     """``weather_{bzn}_{start}_to_{end}.json`` (zone lower-cased)."""
     return F.format_string("weather_%s_%s_to_%s.json", F.lower(_c(bzn)), _c(start), _c(end))

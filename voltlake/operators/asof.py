@@ -7,10 +7,11 @@ and range-joining it, every observation emits the slots it covers, from its
 own time up to the next observation: ``lead`` + ``explode(sequence(..))``.
 
 Scale: a window over the zone alone would put one zone (possibly a third of
-all rows) in one task. The window is keyed by (key, day chunk); the first
-observation of the next non-empty chunk comes from a small per-chunk table
-(one row per key and day, ``lead`` over it), so chunk edges are exact even
-across empty days.
+all rows) in one task. All windows but one are keyed by (key, day chunk). The
+last observation of every chunk (one row per key and day) looks for the next
+chunk's first one in a window over the key, so chunk edges are exact even
+across empty days. Both kinds of rows come from the same window, so the source
+is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -34,22 +35,18 @@ def ffill_grid(df: DataFrame, keys: Sequence[str], ts: str = "datetime",
     keys = list(keys)
     chunk = "_chunk"
     q = f"`{ts}`"
-    w_in = Window.partitionBy(*keys, F.to_date(ts)).orderBy(ts)
-    obs = df.filter(F.col(ts).isNotNull()).select(
-        *df.columns, F.to_date(ts).alias(chunk), F.lead(ts).over(w_in).alias("_next_in_chunk"))
-
-    w_chunks = Window.partitionBy(*keys).orderBy(chunk)
-    nexts = obs.groupBy(*keys, chunk).agg(F.min(ts).alias("_first")) \
-        .select(*keys, chunk, F.lead("_first").over(w_chunks).alias("_next_chunk"))
-
-    nxt = "coalesce(_next_in_chunk, _next_chunk)"
+    own = df.filter(F.col(ts).isNotNull()).select(*df.columns, F.to_date(ts).alias(chunk))
+    in_chunk = Window.partitionBy(*keys, chunk)
+    obs = own.withColumns({"_next": F.lead(ts).over(in_chunk.orderBy(ts)), "_first": F.min(ts).over(in_chunk)})
+    inner = obs.filter(F.col("_next").isNotNull()).drop("_first")
+    last = obs.filter(F.col("_next").isNull()) \
+        .withColumn("_next", F.lead("_first").over(Window.partitionBy(*keys).orderBy(chunk))).drop("_first")
     start = T.sql_ceil_minutes(q, step_minutes)
-    end = (f"CASE WHEN {nxt} IS NULL THEN {T.sql_floor_minutes(q, step_minutes)} "
-           f"ELSE {T.sql_ceil_minutes(nxt, step_minutes)} - {T.sql_minutes(int(step_minutes))} END")
+    end = (f"CASE WHEN _next IS NULL THEN {T.sql_floor_minutes(q, step_minutes)} "
+           f"ELSE {T.sql_ceil_minutes('_next', step_minutes)} - {T.sql_minutes(int(step_minutes))} END")
     slots = F.expr(f"explode(CASE WHEN {start} <= {end} THEN "
                    f"sequence({start}, {end}, INTERVAL {int(step_minutes)} MINUTES) END)")
-    return obs.join(nexts, on=[*keys, chunk], how="left").select(
-        *[slots.alias(c) if c == ts else F.col(c) for c in df.columns])
+    return inner.unionByName(last).select(*[slots.alias(c) if c == ts else F.col(c) for c in df.columns])
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], partition: Sequence[str], order: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Keep-first dedupe (A4), first-seen distinct (A11) and pivot (A5).
+"""Keep-first dedupe (A4) and pivot (A5).
 
 Both are written as aggregations, not as ``row_number`` windows: an aggregate
 is combined map-side before the shuffle, so a key that holds a third of all
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INGEST_ORDER = "ingest_order"
@@ -35,21 +35,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str = INGEST_ORDER,
     return out.select(*cols)
 
 
-def first_seen(df: DataFrame, value: str, order: Column | str) -> DataFrame:
-    """Distinct ``value`` with its first-seen order key (``_seen``)."""
-    order = F.col(order) if isinstance(order, str) else order
-    return df.groupBy(value).agg(F.min(order).alias("_seen"))
-
-
 def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, value: str,
                 pivot_values: Sequence[str], names: Sequence[str] | None = None,
-                order: str = INGEST_ORDER) -> DataFrame:
+                order: str = INGEST_ORDER, on_unmatched: str = "ignore") -> DataFrame:
     """A4 + A5 in one aggregation: long rows -> one column per pivot value,
     holding the first-ingested ``value`` of that (index, pivot value).
 
     Written as conditional ``min_by`` aggregates rather than ``.pivot()``: one
     shuffle on ``index`` with map-side partial aggregation, and a static
-    output schema from the explicit value list (missing values -> null).
+    output schema from the explicit value list (missing values -> null). A
+    value outside the list has no column: ``on_unmatched='error'`` fails on one,
+    'ignore' leaves it out (``unmatched_values`` lists such rows). A null value
+    names no column and is left out.
     """
     from voltlake.operators.lookup import sql_literal
     names = list(names) if names is not None else list(pivot_values)
@@ -58,4 +55,16 @@ def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, value: str,
         hit = f"`{pivot_col}` = {sql_literal(v)}"
         aggs.append(F.expr(f"min_by(CASE WHEN {hit} THEN `{value}` END, "
                            f"CASE WHEN {hit} THEN `{order}` END) AS `{n}`"))
-    return df.groupBy(*index).agg(*aggs)
+    index = list(index)
+    if on_unmatched == "ignore":
+        return df.groupBy(*index).agg(*aggs)
+    odd = F.max(F.when(~F.col(pivot_col).isin(list(pivot_values)), F.lit(1)).otherwise(F.lit(0)))
+    out = df.groupBy(*index).agg(*aggs, odd.alias("_odd"))
+    first = F.when(F.col("_odd") == 0, F.col(index[0])).otherwise(F.raise_error(F.lit(
+        f"{pivot_col} has values without a column of their own; unmatched_values() lists them")))
+    return out.select(first.alias(index[0]), *index[1:], *names)
+
+
+def unmatched_values(df: DataFrame, col: str, known: Sequence[str]) -> DataFrame:
+    """Values of ``col`` outside ``known`` (null among them) with their number of rows."""
+    return df.where(F.col(col).isNull() | ~F.col(col).isin(list(known))).groupBy(col).agg(F.count("*").alias("n_rows"))

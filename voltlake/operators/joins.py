@@ -1,32 +1,15 @@
-"""Join helpers: size-checked broadcast (J1/J9/J10) and feed merge.
-
-Broadcast only what has a proven bound. Fixed lookups are bounded by their
-constant size and are hinted directly. A side derived from data (e.g. the
-distinct (eic_code, bzn) pairs of the weather feed) is first measured: it is
-persisted, counted with a cap, and broadcast only when under the cap;
-otherwise the join is left to a shuffle join, where adaptive execution still
-splits skewed partitions.
+"""Feed merge.
+
+No join here is hinted: which side is broadcast is left to adaptive execution,
+by the measured bytes of the sides, and larger sides stay shuffle joins whose
+skewed partitions are split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Row cap for broadcasting data-derived join sides.
-BROADCAST_ROW_CAP = 1_000_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROW_CAP) -> DataFrame:
-    """Return ``small`` with a broadcast hint when it has at most ``max_rows``
-    rows, else unchanged. The side is persisted so measuring it and joining
-    it compute it once; on executor loss the cache is rebuilt from lineage."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
 
 
 def merge_feeds(base: DataFrame, others: Sequence[DataFrame], keys: Sequence[str],

@@ -1,4 +1,4 @@
-"""Dictionary lookups (J11) and small literal tables.
+"""Dictionary lookups.
 
 Fixed dictionaries (17 zones, 21 production codes, ...) are expressed as map
 literals: the lookup is an expression evaluated inside whole-stage codegen, so
@@ -7,11 +7,10 @@ no join and no shuffle is planned. A miss gives null, as a dict ``.map`` does.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def sql_literal(v: object) -> str:
@@ -39,15 +38,3 @@ def lookup(key, pairs: Iterable[tuple[object, object]]) -> Column:
 
 def lookup_or(key, pairs: Iterable[tuple[object, object]], default) -> Column:
     return F.coalesce(lookup(key, pairs), F.lit(default))
-
-
-def pick(index, values: Sequence[object]) -> Column:
-    """0-based positional pick from a literal list (null when out of range)."""
-    index = F.col(index) if isinstance(index, str) else index
-    arr = F.expr("array(" + ", ".join(sql_literal(v) for v in values) + ")")
-    return F.try_element_at(arr, index + 1)
-
-
-def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    """A small fixed table (for joins whose size is bounded by the constant)."""
-    return spark.createDataFrame(rows, schema)

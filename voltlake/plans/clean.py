@@ -1,5 +1,5 @@
-"""Clean layer (D8): weather projection (P1), zone enrichment (J1),
-per-document complete-column projection (P8).
+"""Clean layer (D8): weather projection (P1), zone enrichment (J1). The
+complete-column projection (P8) is part of the weather reader.
 
 The superseded enrichment without DISTINCT (J2) is not provided: it joins
 every row to every weather row of its zone, i.e. emits all pairs inside a
@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.constants import POLAND_EIC, WEATHER_RENAMES
-from voltlake.operators.joins import checked_broadcast
 
 WEATHER_CLEAN_COLUMNS = [new for _, new in WEATHER_RENAMES]
 
@@ -40,33 +39,18 @@ def zone_pairs(weather_cleaned: DataFrame) -> DataFrame:
     return weather_cleaned.select("eic_code", "bzn").distinct()
 
 
-def add_bzn(df: DataFrame, weather_cleaned: DataFrame, broadcast_cap: int | None = None) -> DataFrame:
+def add_bzn(df: DataFrame, weather_cleaned: DataFrame) -> DataFrame:
     """Left join to the distinct zone pairs, Poland forced to 'PL'.
 
-    The build side is data-derived, so it is broadcast only after a size
-    check; the big side is then never shuffled on the 17-valued zone key.
+    The pairs are the weather feed's own, so their number isn't known before:
+    adaptive execution broadcasts them by their measured bytes or shuffles.
     """
     pairs = zone_pairs(weather_cleaned).withColumnRenamed("bzn", "_w_bzn")
-    pairs = checked_broadcast(pairs, broadcast_cap) if broadcast_cap else checked_broadcast(pairs)
     out = df.join(pairs, on="eic_code", how="left")
     bzn = F.when(F.col("eic_code") == F.lit(POLAND_EIC), F.lit("PL")).otherwise(F.col("_w_bzn"))
     return out.select(*[F.col(c) for c in df.columns], bzn.alias("bzn"))
 
 
-def drop_incomplete(df: DataFrame, by: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
-    """Within each document/location (``by``), a column holding any null
-    is nulled for the whole group (the reference drops it from that file and
-    the later concat re-adds it as null). ``all_null_columns`` reports the
-    columns left without any value. The weather reader applies the same rule
-    per document without a window (see ``sources.weather_json``)."""
-    cols = [c for c in (cols or df.columns) if c not in by]
-    w = Window.partitionBy(*by)
-    out = df.withColumns({
-        c: F.when(F.count(c).over(w) == F.count(F.lit(1)).over(w), F.col(c)) for c in cols
-    })
-    return out
-
-
 def all_null_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: for each column, whether it has no non-null value."""
     return df.agg(*[(F.count(c) == 0).alias(c) for c in cols])

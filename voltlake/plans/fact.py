@@ -35,10 +35,12 @@ def consumption_keyed(consumption: DataFrame) -> DataFrame:
     return keep_first(c, KEYS)
 
 
-def production_wide(production: DataFrame, energy_types: Sequence[str] = ENERGY_TYPES) -> DataFrame:
-    """A4 + A5 + P6: one column ``production_quantity_<slug>`` per type."""
+def production_wide(production: DataFrame, energy_types: Sequence[str] = ENERGY_TYPES,
+                    on_unmatched: str = "error") -> DataFrame:
+    """A4 + A5 + P6: one column ``production_quantity_<slug>`` per type. A type
+    without a column is an error, unless ``on_unmatched='ignore'``."""
     return pivot_first(production, KEYS, "produced_energy_type", "quantity",
-                       list(energy_types), [production_column(t) for t in energy_types])
+                       list(energy_types), [production_column(t) for t in energy_types], on_unmatched=on_unmatched)
 
 
 def price_grid(price: DataFrame, step_minutes: int = 15) -> DataFrame:

@@ -175,22 +175,21 @@ def green_share_country(fact: DataFrame, hour=None, parity: bool = False,
     """
     share = green_share(fact, hour, parity).select(
         "hourly_datetime", bzn_country("bzn").alias("country"), "green_proportion")
-    hours = share.select("hourly_datetime").distinct()
+    # one row per hour with the countries' values as an array of at most one entry per zone, and from it the
+    # fixed country list: the hours and their values come from one aggregation, without a self-join
     if fanout:
         names = [c for _, c in BZN_TO_COUNTRY]
-        # fixed 17-value list per hour (a generate with a constant fan-out)
-        grid = hours.select("hourly_datetime", F.explode(F.array(*[F.lit(n) for n in names])).alias("country"))
-        out = grid.join(share, ["hourly_datetime", "country"], "left")
-        return out.select("hourly_datetime", "country",
-                          _round(F.coalesce(F.col("green_proportion"), F.lit(0.0)),
-                                 None if decimals is None else decimals + 2).alias("green_proportion"))
-    names = list(dict.fromkeys(c for _, c in BZN_TO_COUNTRY))
-    avg = share.groupBy("hourly_datetime", "country").agg(F.avg("green_proportion").alias("green_proportion"))
-    grid = hours.select("hourly_datetime", F.explode(F.array(*[F.lit(n) for n in names])).alias("country"))
-    out = grid.join(avg, ["hourly_datetime", "country"], "left")
+        rows = share.groupBy("hourly_datetime").agg(F.collect_list(F.struct("country", "green_proportion")).alias("_vals"))
+    else:
+        names = list(dict.fromkeys(c for _, c in BZN_TO_COUNTRY))
+        rows = share.groupBy("hourly_datetime", "country").agg(F.avg("green_proportion").alias("green_proportion")) \
+            .groupBy("hourly_datetime").agg(F.collect_list(F.struct("country", "green_proportion")).alias("_vals"))
+    listed = rows.select("hourly_datetime", "_vals", F.explode(F.array(*[F.lit(n) for n in names])).alias("country"))
+    own = F.filter("_vals", lambda v: v["country"] == F.col("country"))
+    value = F.explode_outer(F.transform(own, lambda v: v["green_proportion"]))
+    out = listed.select("hourly_datetime", "country", value.alias("_p"))
     return out.select("hourly_datetime", "country",
-                      _round(F.coalesce(F.col("green_proportion"), F.lit(0.0)),
-                             None if decimals is None else decimals + 2).alias("green_proportion"))
+                      _round(F.coalesce(F.col("_p"), F.lit(0.0)), None if decimals is None else decimals + 2).alias("green_proportion"))
 
 
 # --- B8 ----------------------------------------------------------------------
@@ -199,19 +198,20 @@ def sampling_interval(fact: DataFrame, bzn: str | None = None, start=None, end=N
     """Hours between a zone's first two rows of the B3 series, and
     whether the data is quarter-hourly (<= 0.25 h, as 0/1). Null with < 2 rows (T22).
 
-    Two aggregations instead of a per-zone ``row_number`` window, so a zone
-    with a third of all rows is reduced map-side, never sorted in one task.
+    One pass: the two smallest times of every (zone, day), of which a day has
+    one per slot at most, then those of the days, reduced to the zone. No
+    self-join, and no task sees more of a zone than one entry per day.
     """
     s = zone_series(fact, bzn, start, end, order=False)
     if bzn is not None:
         s = s.withColumn("bzn", F.lit(bzn))
-    first = s.groupBy("bzn").agg(F.min("datetime").alias("_first"))
-    # one row per zone: zones come from the fixed 17-row zone table (every
-    # reader joins it), so this side is bounded and broadcast; the series
-    # side is never shuffled on the low-cardinality zone key
-    second = s.join(F.broadcast(first), "bzn").filter(F.col("datetime") > F.col("_first")) \
-        .groupBy("bzn").agg(F.min("datetime").alias("_second"))
-    out = first.join(second, "bzn", "left")
+    days = s.groupBy("bzn", F.to_date("datetime").alias("_day")).agg(F.collect_set("datetime").alias("_times"))
+    two = days.select("bzn", F.slice(F.array_sort("_times"), 1, 2).alias("_t"))
+    # a day's second time matters only on the zone's first day, or the next day's first does
+    firsts = two.groupBy("bzn").agg(F.min(F.struct(F.col("_t")[0].alias("a"), F.get("_t", F.lit(1)).alias("b"))).alias("_lead"),
+                                    F.array_sort(F.collect_set(F.col("_t")[0])).alias("_starts"))
+    second = F.coalesce(F.col("_lead.b"), F.get("_starts", F.lit(1)))
+    out = firsts.select("bzn", F.col("_lead.a").alias("_first"), second.alias("_second"))
     hours = F.timestamp_diff("SECOND", F.col("_first"), F.col("_second")) / 3600.0
     return out.select("bzn", F.col("_first").alias("first_datetime"),
                       F.col("_second").alias("second_datetime"),

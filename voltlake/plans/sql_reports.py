@@ -58,6 +58,8 @@ def green_share(fact: DataFrame, hour: str | None = None, parity: bool = False,
     if hour is not None:
         where = ("WHERE datetime >= CAST(:h AS TIMESTAMP_NTZ) "
                  "AND datetime < CAST(:h AS TIMESTAMP_NTZ) + INTERVAL 1 HOUR")
+        if "day" in fact.columns:  # the day partition of that hour
+            where += " AND day = to_date(CAST(:h AS TIMESTAMP_NTZ))"
         args["h"] = str(hour)
     return fact.sparkSession.sql(f"""
         SELECT bzn, hourly_datetime,
