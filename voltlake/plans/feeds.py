@@ -54,7 +54,9 @@ def price_day_report(price_docs: DataFrame) -> DataFrame:
     pts = parse_price(price_docs, hourly_positions=True, keep=["period_start"])
     pts = pts.select("eic_code", F.col("period_start").alias("day"), "datetime", "price", "ingest_order")
     firsts = keep_first(pts, ["eic_code", "day", "datetime"])
-    days = pts.select("eic_code", "day").distinct()
+    # where the documents' table names the zone, no document is parsed for the days
+    own = price_docs.withColumnRenamed("period_start", "day") if "eic_code" in price_docs.columns else pts
+    days = own.select("eic_code", "day").distinct()
     grid = hourly_grid(days, "day", ["eic_code"])
     j = grid.join(firsts, ["eic_code", "day", "datetime"], "left")
     filled = forward_fill(j, ["price"], ["eic_code", "day"], "datetime")

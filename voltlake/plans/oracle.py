@@ -433,3 +433,80 @@ _NULLABLE = [c for c in WEATHER_COLS if c not in ("country", "bzn")]
 ORACLE["weather_all_null_columns"] = with_feeds() + "\nSELECT " + ", ".join(
     f"CAST(count({c}) = 0 AS INTEGER) AS {c}" for c in _NULLABLE) + " FROM weather_cleaned"
 ORACLE["weather_zone_pairs"] = with_feeds() + "\nSELECT DISTINCT eic_code, bzn FROM weather_cleaned"
+
+# --- lifecycle ------------------------------------------------------------------
+
+ORACLE["stream_ingest_price"] = ORACLE["price_data"]
+# deliveries arrive in the order 2, 0, 1 of ingest_order % 3; the first delivery of a point wins
+ORACLE["stream_dedupe_price"] = with_feeds() + """
+SELECT eic_code, datetime, price, currency_unit, price_measure_unit FROM price_data
+QUALIFY row_number() OVER (PARTITION BY eic_code, datetime
+  ORDER BY CASE ingest_order % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END, ingest_order) = 1"""
+ORACLE["unit_dim_from_documents"] = ORACLE["unit_dim"]
+ORACLE["energy_type_dim_from_documents"] = ORACLE["energy_type_dim"]
+
+# a weather document: zone, day and 5,000 ingest numbers; its number is its first point's
+_WDOCS = """
+wdocs AS (
+  SELECT *, min(ingest_order) OVER (PARTITION BY bzn, CAST(date_time AS DATE), ingest_order // 5000) AS doc_seq
+  FROM weather_cleaned)"""
+_BY_DOCUMENT = """
+weather_cleaned_docs AS (
+  SELECT * EXCLUDE (ingest_order, doc_seq),
+         doc_seq * 1048576 + row_number() OVER (PARTITION BY doc_seq ORDER BY date_time, ingest_order) - 1 AS ingest_order
+  FROM wdocs)"""
+ORACLE["condition_dim_from_documents"] = ORACLE["condition_dim"].replace(
+    "\nsplit AS (", f"{_WDOCS},{_BY_DOCUMENT},\nsplit AS (").replace(
+    "ingest_order FROM weather_cleaned)", "ingest_order FROM weather_cleaned_docs)")
+ORACLE["fact_from_lake"] = ORACLE["measurements_fact"]
+ORACLE["fact_written_by_days"] = ORACLE["measurements_fact"]
+ORACLE["lake_production_duplicates"] = with_feeds() + """
+SELECT eic_code, datetime, produced_energy_type, 2 * count(*) AS n_rows FROM production_data
+GROUP BY eic_code, datetime, produced_energy_type"""
+ORACLE["mart_price_appended"] = ORACLE["price_data"]
+ORACLE["price_latest_delivery"] = ORACLE["price_data"]
+ORACLE["price_staged"] = """
+SELECT CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE E' a "b", \\n c ' END AS note, count(*) AS n,
+       min(ts + INTERVAL 123 MICROSECOND) AS first_ts, max(ts + INTERVAL 123 MICROSECOND) AS last_ts,
+       CAST(sum(CAST(value AS DECIMAL(30, 6))) AS DOUBLE) AS total
+FROM events GROUP BY 1"""
+ORACLE["weather_quarantine"] = with_feeds(_WDOCS) + """
+SELECT DISTINCT CASE doc_seq % 5 WHEN 1 THEN 'FR' ELSE bzn END AS bzn, strftime(date_time, '%Y-%m-%d') AS window_start, doc_seq,
+       CASE doc_seq % 5 WHEN 0 THEN 'broken body' ELSE 'unknown zone' END AS reason
+FROM wdocs WHERE doc_seq % 5 IN (0, 1)"""
+ORACLE["weather_without_quarantined"] = with_feeds(_WDOCS) + """
+SELECT * EXCLUDE (ingest_order, doc_seq) FROM wdocs WHERE doc_seq % 5 NOT IN (0, 1)"""
+ORACLE["breakdown_quarantine"] = with_fact() + f"""
+SELECT DISTINCT {_EIC_TO_BZN} AS zone, CAST(datetime AS DATE) AS day FROM prod WHERE day(datetime) % 2 = 0"""
+ORACLE["production_unmatched_types"] = with_feeds() + """
+SELECT produced_energy_type, count(*) AS n_rows FROM production_data
+WHERE produced_energy_type IS NULL OR produced_energy_type LIKE 'Fossil%' GROUP BY produced_energy_type"""
+ORACLE["weather_zones_without_documents"] = with_feeds() + f""",
+zones AS (SELECT * FROM (VALUES {_ZONE_ROWS}) v(country, bzn))
+SELECT country, bzn FROM zones WHERE bzn NOT IN (
+  SELECT DISTINCT bzn FROM weather_cleaned WHERE bzn LIKE 'NO%' OR bzn LIKE 'SE%')"""
+ORACLE["price_prefixed_and_rejected"] = with_feeds() + """,
+pdocs AS (
+  SELECT *, min(ingest_order) OVER (PARTITION BY eic_code, resolution, period_start, ingest_order // 5000) AS doc_seq
+  FROM pts WHERE event_type = 'purchase')
+SELECT eic_code, value AS price, 'EUR' AS currency_unit, 'MWH' AS price_measure_unit,
+       period_start + to_minutes(position * res) AS datetime
+FROM pdocs WHERE doc_seq % 3 <> 0"""
+ORACLE["weather_incomplete_columns"] = with_feeds(_WDOCS) + """
+SELECT eic_code, date_time, CASE WHEN count(*) FILTER (WHERE ingest_order % 50 = 0) OVER (PARTITION BY doc_seq) = 0
+       THEN temperature END AS temperature, dew_point
+FROM wdocs"""
+ORACLE["request_manifest_weekly"] = ORACLE["request_manifest"].replace("INTERVAL 31 DAY", "INTERVAL 7 DAY")
+ORACLE["timestamp_dim_holidays"] = ORACLE["timestamp_dim"].replace(
+    f"IN ({_HOLS})", "IN (SELECT CAST(lo AS DATE) + d FROM bounds, (VALUES (0), (7)) x(d))")
+ORACLE["energy_type_dim_in_two_runs"] = ORACLE["energy_type_dim"].replace(
+    "row_number() OVER (ORDER BY o)", "row_number() OVER (ORDER BY t IN ('Solar', 'Nuclear'), o)")
+ORACLE["zone_days_in_two_runs"] = with_feeds() + """
+SELECT eic_code, d AS day, row_number() OVER (ORDER BY day(d) > 10, d, eic_code) AS _id
+FROM (SELECT DISTINCT eic_code, CAST(datetime AS DATE) AS d FROM consumption_data)"""
+ORACLE["zone_series_first_zone"] = with_fact() + f"""
+SELECT {', '.join(c for c in SERIES_COLS if c != 'bzn')} FROM fact
+WHERE bzn = (SELECT min(bzn) FROM fact) AND datetime <= (SELECT min(datetime) + INTERVAL 7 DAY FROM fact)
+  AND consumption_quantity > 0"""
+ORACLE["green_share_last_hour"] = with_fact(green_share_sql()) + """
+SELECT * FROM green_share_out WHERE hourly_datetime = (SELECT date_trunc('hour', max(datetime)) FROM fact)"""

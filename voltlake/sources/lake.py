@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import logging
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,11 +62,21 @@ def read_landed(spark: SparkSession, path: str, schema: str | T.StructType | Non
     return r.json(path)
 
 
+#: How a staged null is written; a text that is just this can't be staged.
+STAGED_NULL = "\u0001null\u0001"
+_STAGE_OPTIONS = {
+    "header": "true", "nullValue": STAGED_NULL, "emptyValue": "", "quote": '"', "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "multiLine": "true", "mode": "FAILFAST",
+}
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """CSV hand-off (header, no index column) read back with the
-    frame's own schema. Optional: lineage is normally passed on directly."""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+    frame's own schema: microseconds stay, and so does the difference between
+    null and an empty text. Optional: lineage is normally passed on directly."""
+    df.write.mode("overwrite").options(**_STAGE_OPTIONS, quoteAll="true").csv(path)
+    return df.sparkSession.read.schema(df.schema).options(**_STAGE_OPTIONS).csv(path)
 
 
 def drop_matching(df: DataFrame, pattern: str = r"^Unnamed") -> DataFrame:
@@ -91,7 +102,7 @@ def supported_columns(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             keep.append(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name))
         else:
-            log.warning("Skipping unsupported field: %s", f.name)
+            log.warning("column %s has a type the lake does not take; it is left out", f.name)
     return df.select(*keep)
 
 
@@ -102,48 +113,76 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
+#: Partition column of lake tables and of the fact: the date of ``datetime``.
+DAY = "day"
+
+
 def append_lake(df: DataFrame, table: str, schema: T.StructType | None = None,
-                location: str | None = None) -> None:
+                location: str | None = None, ts: str = "datetime") -> None:
     """Append to ``table``, creating it first (with ``schema``, or
     the frame's supported columns) when missing. A frame with columns the
-    table lacks adds them (schema evolution), as a union by name would."""
+    table lacks adds them (schema evolution), as a union by name would. A
+    table with a column ``ts`` is partitioned by its date, so that a daily
+    build reads the days it needs."""
     spark = df.sparkSession
     df = conform(df, schema) if schema is not None else supported_columns(df)
+    dated = ts in df.columns
+    if dated:
+        df = df.withColumn(DAY, F.to_date(ts))
     if not spark.catalog.tableExists(table):
         w = df.limit(0).write.format("parquet")
+        if dated:
+            w = w.partitionBy(DAY)
         if location:
             w = w.option("path", location)
         w.saveAsTable(table)
     existing = {f.name: f for f in spark.table(table).schema.fields}
-    new = [f for f in df.schema.fields if f.name not in existing]
+    new = [f for f in df.schema.fields if f.name not in existing and f.name != DAY]
     if new:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
     target = spark.table(table).schema
-    conform(df, target).write.mode("append").format("parquet").insertInto(table)
+    out = conform(df, target)
+    if DAY in target.fieldNames():
+        out = out.repartition(DAY)  # one file a day and run, not one a day and task
+    out.write.mode("append").format("parquet").insertInto(table)
 
 
 # --- S17-S23: mart loading --------------------------------------------------------
 
+#: Part files of one write share the job's id in their names.
+_JOB_ID = r"part-[0-9]+-([0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})"
+
+
+def _delivery(path: Column) -> Column:
+    """What a file was delivered with: its folder and the id of the write, or the file itself if its name has none."""
+    folder, name = F.regexp_extract(path, r"^(.*)/[^/]*$", 1), F.regexp_extract(path, r"([^/]*)$", 1)
+    job = F.regexp_extract(name, _JOB_ID, 1)
+    return F.concat(folder, F.lit("/"), F.when(job != "", job).otherwise(name))
+
+
 def read_latest_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Only the newest Parquet file under ``path`` (recursive).
+    """The newest delivery under ``path`` (recursive), whole: every
+    part file of the write that the newest file belongs to.
 
-    The newest modification time is one scalar; filtering on the
-    ``_metadata`` column then prunes every other file at planning time.
+    Files are listed with their times (metadata alone), one value comes to the
+    driver, and the filter on the file's path prunes every other file.
     """
     files = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
              .parquet(path))
-    newest = files.select(F.max("_metadata.file_modification_time").alias("m")).first()["m"]
+    own = _delivery(F.col("_metadata.file_path"))
+    newest = files.select(F.col("_metadata.file_modification_time").alias("at"), own.alias("delivery")) \
+        .agg(F.max(F.struct("at", "delivery")).alias("m")).first()["m"]
     if newest is None:
-        raise FileNotFoundError(f"No Parquet files found in {path}")
-    return files.filter(F.col("_metadata.file_modification_time") == F.lit(newest))
+        raise FileNotFoundError(f"nothing was delivered under {path}")
+    return files.filter(own == F.lit(newest["delivery"]))
 
 
 def require_input(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet input that must exist and hold rows."""
     df = spark.read.option("recursiveFileLookup", True).parquet(path)
     if df.limit(1).count() == 0:
-        raise FileNotFoundError(f"No input rows under {path}")
+        raise FileNotFoundError(f"no rows under {path}")
     return df
 
 
@@ -192,32 +231,43 @@ def create_dims(spark: SparkSession, ddl: Mapping[str, str] = DIM_DDL) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet")
 
 
-def write_fact(df: DataFrame, table: str = "measurements_FACT", cluster: bool = True,
-               partition_by_day: bool = True) -> None:
-    """Register as a view, replace the table from it, drop the view.
-
-    ``partition_by_day``: the table is partitioned by ``day`` (the date of
-    ``datetime``); the dashboard reports add a ``day`` predicate derived from
-    their time filter, so a time range reads only its day folders.
-    ``cluster``: rows are range-partitioned by (day, bzn, datetime) and
-    sorted within files, so ``bzn = ?`` and time predicates also skip row
-    groups by their min/max statistics; range bounds keep files even when one
-    zone holds most rows (hashing the 17-valued zone would not).
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that df has rows of; the mode is a session setting for catalog tables."""
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
+
+
+def write_fact(df: DataFrame, table: str = "measurements_FACT", replace: bool = False) -> None:
+    """Register as a view, replace the table's days from it, drop the view.
+
+    The table is partitioned by ``day`` (the date of ``datetime``). A run
+    replaces the days it has rows of and leaves the others (dynamic partition
+    overwrite), so readers of other days aren't disturbed and a daily run
+    doesn't rewrite history. ``replace=True``, or other columns than the
+    table's, replaces the whole table. The dashboard reports add a ``day``
+    predicate derived from their time filter, so a time range reads only its
+    day folders; rows are sorted by (bzn, datetime) within a day, whose number
+    of rows the grid bounds, so ``bzn = ?`` skips row groups too.
     """
-    view = "temp_merged_df"
+    spark = df.sparkSession
+    view = f"fact_{uuid.uuid4().hex}"  # one per call: builds may run side by side
     df.createOrReplaceTempView(view)
-    out = df.sparkSession.table(view)
-    parts = []
-    if partition_by_day and "datetime" in out.columns:
-        out = out.withColumn("day", F.to_date("datetime"))
-        parts = ["day"]
-    if cluster and {"bzn", "datetime"} <= set(out.columns):
-        out = out.repartitionByRange(*parts, "bzn", "datetime").sortWithinPartitions(*parts, "bzn", "datetime")
-    w = out.write.mode("overwrite").format("parquet")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.saveAsTable(table)
-    df.sparkSession.catalog.dropTempView(view)
+    try:
+        out = spark.table(view).withColumn(DAY, F.to_date("datetime"))
+        sort = [DAY, *[c for c in ("bzn", "datetime") if c in out.columns]]
+        out = out.repartition(DAY).sortWithinPartitions(*sort)
+        same = spark.catalog.tableExists(table) and spark.table(table).dtypes == out.dtypes
+        if same and not replace:
+            _overwrite_partitions(out, table)
+        else:
+            out.write.mode("overwrite").format("parquet").partitionBy(DAY).saveAsTable(table)
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def like_to_regex(pattern: str) -> str:

@@ -30,7 +30,13 @@ _STAMP = "yyyy-MM-dd'T'HH:mm'Z'"
 
 
 def _bucket(max_points: int) -> Column:
-    return F.floor(F.col("ingest_order") / F.lit(max_points)).cast("long").alias("doc_seq")
+    return F.floor(F.col("ingest_order") / F.lit(max_points)).cast("long").alias("_bucket")
+
+
+def _number() -> Column:
+    """A document's number: the ingest order of its first point. No two documents of a feed share one, and of two
+    of one zone and day the one with the earlier points has the smaller number."""
+    return F.min("ingest_order").cast("long").alias("doc_seq")
 
 
 def _period(points: Column) -> Column:
@@ -52,7 +58,7 @@ def generation_documents(events: DataFrame, max_points: int = MAX_POINTS) -> Dat
     """A75 documents: one TimeSeries (zone, type) with one daily Period."""
     p = landed_points(events).withColumn("psr", lookup("event_type", EVENT_PSR))
     g = p.groupBy("eic_code", "resolution", "period_start", "psr", _bucket(max_points)) \
-        .agg(_sorted_points("value", "quantity").alias("pts"))
+        .agg(_sorted_points("value", "quantity").alias("pts"), _number())
     series = F.struct(
         F.col("eic_code").alias("inBiddingZone_Domain.mRID"),
         F.lit("MAW").alias("quantity_Measure_Unit.name"),
@@ -67,7 +73,7 @@ def price_documents(events: DataFrame, max_points: int = MAX_POINTS) -> DataFram
     """A44 documents: one TimeSeries per zone and day."""
     p = landed_points(events.filter(F.col("event_type") == "purchase"))
     g = p.groupBy("eic_code", "resolution", "period_start", _bucket(max_points)) \
-        .agg(_sorted_points("value", "price.amount").alias("pts"))
+        .agg(_sorted_points("value", "price.amount").alias("pts"), _number())
     series = F.struct(
         F.lit("EUR").alias("currency_Unit.name"),
         F.lit("MWH").alias("price_Measure_Unit.name"),
@@ -83,7 +89,7 @@ def load_documents(events: DataFrame, max_points: int = MAX_POINTS) -> DataFrame
     """A65 documents: one TimeSeries per zone and day."""
     p = landed_points(events)
     g = p.groupBy("eic_code", "resolution", "period_start", _bucket(max_points)) \
-        .agg(_sorted_points("value", "quantity").alias("pts"))
+        .agg(_sorted_points("value", "quantity").alias("pts"), _number())
     series = F.struct(
         F.col("eic_code").alias("outBiddingZone_Domain.mRID"),
         F.lit("MAW").alias("quantity_Measure_Unit.name"),
@@ -107,7 +113,8 @@ def weather_documents(weather_data: DataFrame, max_points: int = MAX_POINTS) ->
                             F.struct(T.ntz_to_epoch_millis("datetime").alias("datetime"),
                                      F.col("ingest_order"),
                                      *[F.col(c) for c in WEATHER_VALUE_FIELDS]).alias("v"))
-    g = w.groupBy("BZN", "day", "doc_seq", "latlon").agg(F.array_sort(F.collect_list("v")).alias("vals"))
+    g = w.groupBy("BZN", "day", "_bucket", "latlon").agg(
+        F.array_sort(F.collect_list("v")).alias("vals"), F.min("v.ingest_order").cast("long").alias("doc_seq"))
     vals = F.transform("vals", lambda v: F.struct(v["datetime"].alias("datetime"),
                                                   *[v[c].alias(c) for c in WEATHER_VALUE_FIELDS]))
     loc = F.struct(vals.alias("values"),

@@ -25,10 +25,21 @@ from pyspark.sql import functions as F
 
 from voltlake.constants import PSR_TYPES
 from voltlake.functions import timefn as T
+from voltlake.operators.keys import sequential_ids
 from voltlake.operators.lookup import lookup
 
 # Document-order key of every parsed point (keep-first after a round trip).
 ORDER = "ingest_order"
+#: Points of one document, and documents, that an order key has room for; beyond, the read fails.
+ORDER_POINTS = 1 << 20
+ORDER_DOCUMENTS = 1 << 43
+
+
+def document_order(seq: Column, ix: Column) -> Column:
+    """One BIGINT that orders points by document and place in it: unique if ``seq`` is unique per document."""
+    fits = (ix < ORDER_POINTS) & (seq >= 0) & (seq < ORDER_DOCUMENTS)
+    return F.when(fits, seq * F.lit(ORDER_POINTS) + ix).otherwise(F.raise_error(F.format_string(
+        "no order key for point %s of document %s", ix.cast("string"), seq.cast("string"))).cast("long"))
 
 _PERIOD = ("timeInterval: STRUCT<start: STRING, `end`: STRING>, resolution: STRING, "
            "Point: ARRAY<STRUCT<position: INT, {point}>>")
@@ -68,30 +79,34 @@ def _parse(docs: DataFrame, xml_col: str, schema: str, mode: str, ignore_namespa
 def _zone_check(zone: Column, on_missing_zone: str) -> Column:
     if on_missing_zone == "error":
         return F.when(zone.isNull(), F.raise_error(F.lit(
-            "Neither inBiddingZone_Domain.mRID nor outBiddingZone_Domain.mRID found in TimeSeries"))
+            "a series names no bidding zone, neither an in-domain nor an out-domain"))
         ).otherwise(zone)
     return zone
 
 
-def _explode_points(series: DataFrame, first_period_only: bool, extra: list[str]) -> DataFrame:
-    """series has columns ``_s`` (one TimeSeries) and ``_six`` (its index);
-    returns one row per Point with ``_start``, ``_resolution``, ``_pt`` and
-    ``_order`` = (document seq, series, period, point) in document order."""
-    if first_period_only:
-        first = F.col("_s.Period")[0]
-        pts = series.select(
-            *extra, "_six", F.lit(0).alias("_per"),
-            first["timeInterval"]["start"].alias("_start"),
-            first["resolution"].alias("_resolution"),
-            F.posexplode(F.flatten(F.transform(F.col("_s.Period"), lambda p: p["Point"]))).alias("_pix", "_pt"))
-    else:
-        periods = series.select(*extra, "_six", F.posexplode(F.col("_s.Period")).alias("_per", "_p"))
-        pts = periods.select(
-            *extra, "_six", "_per",
-            F.col("_p.timeInterval.start").alias("_start"),
-            F.col("_p.resolution").alias("_resolution"),
-            F.posexplode(F.col("_p.Point")).alias("_pix", "_pt"))
-    return pts.withColumn("_order", F.struct(F.col("_seq"), F.col("_six"), F.col("_per"), F.col("_pix")))
+def _some(arrays: Column) -> Column:
+    """Arrays of arrays as one; missing ones count as empty."""
+    return F.flatten(F.filter(arrays, lambda a: a.isNotNull()))
+
+
+def _points(docs: DataFrame, keep: list[str], fields, first_period_only: bool, use=None) -> DataFrame:
+    """One row per Point of every document, in document order: ``keep``, the
+    series' ``fields`` (name -> function of the series), ``_start``,
+    ``_resolution``, ``_pt`` and the order key. One generate per document;
+    ``use`` selects the series that count."""
+    series = F.col("_doc.TimeSeries")
+    if use is not None:
+        series = F.filter(series, use)
+
+    def of(s: Column, p: Column, first: Column) -> Column:
+        dated = first if first_period_only else p
+        return F.transform(p["Point"], lambda pt: F.struct(
+            *[f(s).alias(n) for n, f in fields.items()], dated["timeInterval"]["start"].alias("_start"),
+            dated["resolution"].alias("_resolution"), pt.alias("_pt")))
+
+    pts = _some(F.transform(series, lambda s: _some(F.transform(s["Period"], lambda p: of(s, p, s["Period"][0])))))
+    return docs.select(*keep, "_seq", F.posexplode(pts).alias("_ix", "_e")) \
+        .select(*keep, "_e.*", document_order(F.col("_seq"), F.col("_ix")).alias(ORDER))
 
 
 def _stamp() -> Column:
@@ -105,18 +120,19 @@ def parse_generation(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAS
     produced_energy_type, datetime); unknown type codes give a null type."""
     keep = list(keep or [])
     d = _parse(docs, xml_col, GENERATION_SCHEMA, mode, ignore_namespace)
-    s = d.select(*keep, "_seq", F.posexplode(F.col("_doc.TimeSeries")).alias("_six", "_s"))
-    zone = F.coalesce(F.col("_s.`inBiddingZone_Domain.mRID`"), F.col("_s.`outBiddingZone_Domain.mRID`"))
-    s = s.select(*keep, "_seq", "_six", "_s", _zone_check(zone, on_missing_zone).alias("eic_code"),
-                 F.col("_s.`quantity_Measure_Unit.name`").alias("unit"),
-                 F.col("_s.MktPSRType.psrType").alias("_psr"))
-    if on_missing_zone == "drop":
-        s = s.filter(F.col("eic_code").isNotNull())
-    pts = _explode_points(s, first_period_only, [*keep, "_seq", "eic_code", "unit", "_psr"])
+
+    def zone(s: Column) -> Column:
+        return F.coalesce(s.getField("inBiddingZone_Domain.mRID"), s.getField("outBiddingZone_Domain.mRID"))
+
+    pts = _points(d, keep, {
+        "eic_code": lambda s: _zone_check(zone(s), on_missing_zone),
+        "unit": lambda s: s.getField("quantity_Measure_Unit.name"),
+        "_psr": lambda s: s["MktPSRType"]["psrType"],
+    }, first_period_only, (lambda s: zone(s).isNotNull()) if on_missing_zone == "drop" else None)
     return pts.select(
         *keep, "eic_code", F.col("_pt.quantity").alias("quantity"), "unit",
         lookup("_psr", PSR_TYPES).alias("produced_energy_type"),
-        _stamp().alias("datetime"), F.col("_order").alias(ORDER))
+        _stamp().alias("datetime"), ORDER)
 
 
 def parse_price(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
@@ -127,20 +143,18 @@ def parse_price(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
     position counts one hour whatever the resolution (the daily report)."""
     keep = list(keep or [])
     d = _parse(docs, xml_col, PRICE_SCHEMA, mode, ignore_namespace)
-    s = d.select(*keep, "_seq", F.posexplode(F.col("_doc.TimeSeries")).alias("_six", "_s"))
-    s = s.select(*keep, "_seq", "_six", "_s",
-                 F.col("_s.`out_Domain.mRID`").alias("eic_code"),
-                 F.col("_s.`currency_Unit.name`").alias("currency_unit"),
-                 F.col("_s.`price_Measure_Unit.name`").alias("price_measure_unit"))
-    extra = [*keep, "_seq", "eic_code", "currency_unit", "price_measure_unit"]
-    pts = _explode_points(s, first_period_only, extra)
+    pts = _points(d, keep, {
+        "eic_code": lambda s: s.getField("out_Domain.mRID"),
+        "currency_unit": lambda s: s.getField("currency_Unit.name"),
+        "price_measure_unit": lambda s: s.getField("price_Measure_Unit.name"),
+    }, first_period_only)
     if hourly_positions:
         stamp = T.hourly_point_time(T.sql_parse_market_time("_start"), "_pt.position")
     else:
         stamp = _stamp()
     return pts.select(*keep, "eic_code", F.col("_pt.`price.amount`").alias("price"),
                       "currency_unit", "price_measure_unit", stamp.alias("datetime"),
-                      F.col("_pt.position").alias("position"), F.col("_order").alias(ORDER))
+                      F.col("_pt.position").alias("position"), ORDER)
 
 
 def parse_load(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
@@ -158,23 +172,29 @@ def parse_load(docs: DataFrame, xml_col: str = "xml", mode: str = "FAILFAST",
     if first_period_only:
         ts0 = F.col("_doc.TimeSeries")[0]
         p0 = ts0["Period"][0]
-        all_points = F.flatten(F.transform(
-            F.col("_doc.TimeSeries"), lambda s: F.flatten(F.transform(s["Period"], lambda p: p["Point"]))))
+        all_points = _some(F.transform(
+            F.col("_doc.TimeSeries"), lambda s: _some(F.transform(s["Period"], lambda p: p["Point"]))))
         pts = d.select(*keep, ts0.getField("outBiddingZone_Domain.mRID").alias("eic_code"),
                        ts0.getField("quantity_Measure_Unit.name").alias("unit"),
                        p0["timeInterval"]["start"].alias("_start"), p0["resolution"].alias("_resolution"),
-                       "_seq", F.posexplode(all_points).alias("_pix", "_pt"))
-        pts = pts.withColumn("_order", F.struct("_seq", F.lit(0).alias("_six"), F.lit(0).alias("_per"), "_pix"))
+                       "_seq", F.posexplode(all_points).alias("_ix", "_pt")) \
+            .withColumn(ORDER, document_order(F.col("_seq"), F.col("_ix")))
     else:
-        s = d.select(*keep, "_seq", F.posexplode(F.col("_doc.TimeSeries")).alias("_six", "_s"))
-        s = s.select(*keep, "_seq", "_six", "_s", F.col("_s.`outBiddingZone_Domain.mRID`").alias("eic_code"),
-                     F.col("_s.`quantity_Measure_Unit.name`").alias("unit"))
-        pts = _explode_points(s, False, [*keep, "_seq", "eic_code", "unit"])
+        pts = _points(d, keep, {
+            "eic_code": lambda s: s.getField("outBiddingZone_Domain.mRID"),
+            "unit": lambda s: s.getField("quantity_Measure_Unit.name"),
+        }, False)
     return pts.select(*keep, "eic_code", F.col("_pt.quantity").alias("quantity"), "unit",
-                      _stamp().alias("datetime"), F.col("_order").alias(ORDER))
+                      _stamp().alias("datetime"), ORDER)
 
 
 def read_documents(spark, path: str) -> DataFrame:
-    """Landed XML files, one document per file, with the file path."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("xml"), F.col("_metadata.file_path").alias("file_path"))
+    """Landed XML files, one document per file, with the file path and
+    ``doc_seq``, the file's number by arrival (modification time, then path).
+
+    The numbers come from the files' names and times alone, a row per file."""
+    files = spark.read.text(path, wholetext=True)
+    own = files.select(F.col("value").alias("xml"), F.col("_metadata.file_path").alias("file_path"))
+    names = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("_at"))
+    numbered = sequential_ids(names, ["_at", "file_path"], bucket=F.to_date("_at"), name="doc_seq").drop("_at")
+    return own.join(numbered, "file_path").select("xml", "file_path", "doc_seq")

@@ -40,3 +40,9 @@ def read_run_window(spark: SparkSession, path: str) -> DataFrame:
     j = spark.read.option("multiLine", True).schema("start_date STRING, end_date STRING").json(path)
     return j.select(F.to_date("start_date", "yyyy-MM-dd").alias("start_date"),
                     F.to_date("end_date", "yyyy-MM-dd").alias("end_date"))
+
+
+def zone_rows(zones: DataFrame) -> list[tuple]:
+    """The mapper's zones as the tuples that the request planner takes (a config file's rows)."""
+    return [(r.country, r.eic_code, r.bzn, r.latitude, r.longitude)
+            for r in zones.select("country", "eic_code", "bzn", "latitude", "longitude").orderBy("bzn").collect()]
