@@ -10,10 +10,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from voltlake.plans.registry import QUERIES  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -6,13 +6,14 @@ import datetime as dt
 import pytest
 
 import __spark_entry__ as entry
+from voltlake.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
     df = entry.queries()[name](spark, SF)
     qe = df._jdf.queryExecution()
