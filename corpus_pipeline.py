@@ -28,10 +28,9 @@ LEAST_SCORE = 0.2
 
 def _with_text_of(df: DataFrame, columns: list[str]) -> DataFrame:
     """df with n_chars as long as its text."""
-    if "n_chars" not in columns:
-        return df.select(*columns)
-    kind = dict(df.dtypes)["n_chars"]
-    return df.withColumn("n_chars", F.length("text").cast(kind)).select(*columns)
+    if "n_chars" in columns:
+        df = df.withColumn("n_chars", F.length("text").cast(dict(df.dtypes)["n_chars"]))
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,9 @@ def _any_of(words: tuple[str, ...]) -> str:
     return f"(?:{'|'.join(parts)}){'?' if '' in heads else ''}"
 
 
+#: The end of the text counts as a content word, so that anchors before it have one.
+END = "\u0003"
+
 #: Anchors in a row and a content word, in normalised text where every word ends in a blank.
 _UNIT = rf"(?:{_any_of(ANCHORS)}(?= ) )*+[^ ]+ "
 
@@ -65,10 +68,10 @@ def let(value: Column, use) -> Column:
 def signatures(text: Column, chain: int = CHAIN) -> Column:
     """array<int>: the hashes of a text's signatures, distinct and ascending; one at least."""
     body = F.coalesce(text.cast("string"), F.lit(""))
-    words = F.ltrim(F.concat(F.regexp_replace(F.lower(body), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
+    words = F.ltrim(F.concat(F.rtrim(F.regexp_replace(F.lower(body), r"[^\p{L}\p{N}]+", " ")), F.lit(" ")))
 
     def of(norm: Column) -> Column:
-        units = F.regexp_extract_all(norm, F.lit(_UNIT), F.lit(0))
+        units = F.regexp_extract_all(F.concat(norm, F.lit(END + " ")), F.lit(_UNIT), F.lit(0))
         own = let(units, lambda u: F.transform(
             F.filter(F.sequence(F.lit(0), F.greatest(F.size(u) - 1, F.lit(0))), lambda i: F.instr(F.coalesce(F.get(u, i), F.lit("")), " ") < F.length(F.get(u, i))),
             lambda i: _short(F.xxhash64(F.get(u, i), *[F.substring_index(F.rtrim(F.get(u, i + n)), " ", -1) for n in range(1, chain)]))))
