@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from voltlake.constants import ZONE_CSV_TEXT
+from voltlake.constants import ZONES
 from voltlake.operators.checks import assert_empty, assert_no_nulls, duplicate_keys
 from voltlake.plans import dims
 from voltlake.sources import lake
@@ -80,7 +80,10 @@ def test_energy_and_zone_dims(spark):
 def test_read_zones_and_run_window(spark, tmp_dir):
     p = os.path.join(tmp_dir, "zones.csv")
     with open(p, "w") as fh:
-        fh.write(ZONE_CSV_TEXT + ",,XX,1.0,2.0\n")
+        fh.write("Country,EIC,BZN,Latitude,Longitude\n")
+        for country, eic, bzn, lat, lon in ZONES:  # the mapper file has a TAB after the Polish code
+            fh.write(f'{country},"{eic}\t",{bzn},{lat},{lon}\n' if bzn == "PL" else f"{country},{eic},{bzn},{lat},{lon}\n")
+        fh.write(",,XX,1.0,2.0\n")
     z = read_zones(spark, p)
     rows = {r.bzn: r for r in z.collect()}
     assert len(rows) == 17 and rows["PL"].eic_code == "10YPL-AREA-----S"

@@ -116,3 +116,69 @@ def test_country_map_and_features(spark, tmp_dir):
                                     "country string, green_proportion double")
     j = attach_features(feats, country).collect()
     assert len(j) == 1 and j[0].name == "Estonia" and '"Polygon"' in j[0].geometry
+
+
+def test_second_application_reads_only_new_files(tmp_dir):
+    """Two applications share a stream root: the second one starts with a new file and loads it once."""
+    import subprocess
+    import sys
+    src, root, wh = (os.path.join(tmp_dir, x) for x in ("landing", "root", "warehouse"))
+    code = """
+import sys
+sys.path.insert(0, {repo!r})
+import datetime as dt
+from voltlake.session import build_session
+from voltlake.sources import lake
+from voltlake.streaming.ingest import ingest_stream
+spark = build_session("local[2]", shuffle_partitions=2, extra={{"spark.sql.warehouse.dir": {wh!r}, "voltlake.stream.root": {root!r},
+                      "spark.checkpoint.dir": {wh!r} + "-ckpt"}})
+n = int(sys.argv[1])
+rows = [("Z", float(n), "EUR", "MWH", dt.datetime(2024, 1, n, h), n * 10 + h) for h in range(n)]
+spark.createDataFrame(rows, lake.PRICE_SCHEMA).coalesce(1).write.mode("append").parquet({src!r} + "/run" + str(n))
+for how, keys in (("plain", None), ("merged", ["eic_code"])):
+    path = {wh!r} + "/" + how
+    if keys:
+        spark.sql("CREATE TABLE t_" + how + " (eic_code string, price double, currency_unit string, price_measure_unit string, "
+                  "datetime timestamp_ntz, ingest_order bigint, day date) USING parquet PARTITIONED BY (day) LOCATION '" + path + "'")
+        spark.sql("MSCK REPAIR TABLE t_" + how) if n > 1 and spark.conf.get("spark.sql.catalogImplementation") == "hive" else None
+        ingest_stream(spark, {src!r}, lake.PRICE_SCHEMA, "t_" + how, dedupe_keys=keys).awaitTermination()
+    else:
+        from voltlake.streaming.ingest import read_new_files, checkpoint_location
+        read_new_files(spark, {src!r}, lake.PRICE_SCHEMA).writeStream.format("parquet").option(
+            "checkpointLocation", checkpoint_location(spark, "t_" + how)).trigger(availableNow=True).start(path).awaitTermination()
+    print("ROWS", how, spark.read.parquet(path).count())
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    seen = []
+    for n in (1, 2):
+        out = subprocess.run([sys.executable, "-c", code.format(repo=repo, wh=wh, root=root, src=src), str(n)],
+                             capture_output=True, text=True, timeout=300, check=False)
+        seen.append([x for x in out.stdout.splitlines() if x.startswith("ROWS")])
+        assert seen[-1], out.stderr[-2000:]
+    assert seen == [["ROWS plain 1", "ROWS merged 1"], ["ROWS plain 3", "ROWS merged 3"]]
+
+
+def test_stream_root_has_no_default(spark):
+    import pytest
+
+    from voltlake.streaming.ingest import checkpoint_location
+    with pytest.raises(ValueError, match="shared folder"):
+        checkpoint_location(spark, "x")
+    assert checkpoint_location(spark, "x", "/shared/") == "/shared/streams/x"
+
+
+def test_backfill_of_any_age_is_kept(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    table = "stream_price_backfill"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+
+    def deliver(name, rows):
+        spark.createDataFrame(rows, lake.PRICE_SCHEMA).coalesce(1).write.parquet(os.path.join(src, name))
+        ingest_stream(spark, src, lake.PRICE_SCHEMA, table, dedupe_keys=["eic_code"], checkpoint=ckpt).awaitTermination(120)
+
+    deliver("late", [("Z", 1.0, "EUR", "MWH", dt.datetime(2024, 1, 31, 5), 1)])
+    deliver("old", [("Z", 2.0, "EUR", "MWH", dt.datetime(2024, 1, 3, 1), 2), ("Z", 3.0, "EUR", "MWH", dt.datetime(2024, 1, 4, 1), 3),
+                    ("Z", 9.0, "EUR", "MWH", dt.datetime(2024, 1, 31, 5), 4)])
+    deliver("older", [("Z", 4.0, "EUR", "MWH", dt.datetime(2024, 1, 5, 1), 5), ("Z", 8.0, "EUR", "MWH", dt.datetime(2024, 1, 5, 1), 6)])
+    assert sorted(r.price for r in spark.table(table).collect()) == [1.0, 2.0, 3.0, 4.0]

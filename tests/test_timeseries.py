@@ -12,14 +12,16 @@ from voltlake.operators.asof import ffill_grid, forward_fill, hourly_grid, reind
 from voltlake.operators.dedupe import keep_first, pivot_first
 
 
-def _pandas_grid(rows):
-    """The reference recipe: per zone resample('15min').ffill() on unique times."""
-    df = pd.DataFrame(rows, columns=["eic_code", "datetime", "v", "w"])
-    out = (df.set_index("datetime").groupby("eic_code", group_keys=False)
-           .resample("15min").ffill().reset_index())
-    out = out[out["eic_code"].notna()]
-    return sorted((r.eic_code, r.datetime.to_pydatetime(), None if pd.isna(r.v) else r.v,
-                   None if pd.isna(r.w) else r.w) for r in out.itertuples())
+def _asof_grid(rows):
+    """Every quarter-hour slot between a zone's first and last time, with the latest row at or before it."""
+    out = []
+    for zone in sorted({r[0] for r in rows}):
+        obs = pd.DataFrame([r[1:] for r in rows if r[0] == zone], columns=["at", "v", "w"]).sort_values("at")
+        obs["at"] = obs["at"].astype("datetime64[us]")
+        slots = pd.DataFrame({"slot": pd.date_range(obs["at"].min().ceil("15min"), obs["at"].max(), freq="15min").astype("datetime64[us]")})
+        for r in pd.merge_asof(slots, obs, left_on="slot", right_on="at").itertuples():
+            out.append((zone, r.slot.to_pydatetime(), None if pd.isna(r.v) else r.v, None if pd.isna(r.w) else r.w))
+    return sorted(out)
 
 
 @pytest.mark.parametrize("aligned", [True, False])
@@ -38,7 +40,7 @@ def test_ffill_grid_matches_pandas(spark, aligned, seed):
             rows.append((zone, t, v, rnd.random()))
     df = spark.createDataFrame(rows, "eic_code string, datetime timestamp_ntz, v double, w double")
     got = sorted(tuple(r) for r in ffill_grid(df, ["eic_code"], "datetime").collect())
-    assert got == _pandas_grid(rows)
+    assert got == _asof_grid(rows)
 
 
 def test_ffill_keeps_nulls_of_carried_row(spark):

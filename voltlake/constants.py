@@ -11,8 +11,7 @@ from __future__ import annotations
 
 # --- fixed values: bidding zones in mapper-file order -----------------------
 # (country, eic_code, bzn, latitude, longitude). The raw mapper file carries a
-# trailing TAB on the Polish EIC; the cleaned code is listed here and the raw
-# form is kept in ZONE_CSV_TEXT for the scan tests.
+# trailing TAB on the Polish EIC; the cleaned code is listed here.
 ZONES: list[tuple[str, str, str, float, float]] = [
     ("Estonia", "10Y1001A1001A39I", "EE", 59.35, 24.80),
     ("Latvia", "10YLV-1001A00074", "LV", 56.95, 24.11),
@@ -33,27 +32,6 @@ ZONES: list[tuple[str, str, str, float, float]] = [
     ("Finland", "10YFI-1--------U", "FI", 60.36, 24.91),
 ]
 
-ZONE_CSV_TEXT = (
-    "Country,EIC,BZN,Latitude,Longitude\n"
-    "Estonia,10Y1001A1001A39I,EE,59.35,24.80\n"
-    "Latvia,10YLV-1001A00074,LV,56.95,24.11\n"
-    "Lithuania,10YLT-1001A0008Q,LT,54.66,25.26\n"
-    'Poland,"10YPL-AREA-----S\t",PL,52.24,20.97\n'
-    "Germany,10Y1001A1001A82H,DE-LU,52.60,13.34\n"
-    "Denmark,10YDK-1--------W,DK1,56.00,9.16\n"
-    "Denmark,10YDK-2--------M,DK2,55.70,12.42\n"
-    "Sweden,10Y1001A1001A44P,SE1,66.41,20.00\n"
-    "Sweden,10Y1001A1001A45N,SE2,63.43,16.58\n"
-    "Sweden,10Y1001A1001A46L,SE3,59.24,18.02\n"
-    "Sweden,10Y1001A1001A47J,SE4,56.98,14.42\n"
-    "Norway,10YNO-1--------2,NO1,59.84,10.80\n"
-    "Norway,10YNO-2--------T,NO2,58.99,7.49\n"
-    "Norway,10YNO-3--------J,NO3,63.26,10.32\n"
-    "Norway,10YNO-4--------9,NO4,67.01,14.55\n"
-    "Norway,10Y1001A1001A48H,NO5,60.53,6.00\n"
-    "Finland,10YFI-1--------U,FI,60.36,24.91\n"
-)
-
 # EIC whose zone is forced to PL by the clean layer.
 POLAND_EIC = "10YPL-AREA-----S"
 

@@ -60,9 +60,10 @@ def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, value: str,
         return df.groupBy(*index).agg(*aggs)
     odd = F.max(F.when(~F.col(pivot_col).isin(list(pivot_values)), F.lit(1)).otherwise(F.lit(0)))
     out = df.groupBy(*index).agg(*aggs, odd.alias("_odd"))
-    first = F.when(F.col("_odd") == 0, F.col(index[0])).otherwise(F.raise_error(F.lit(
-        f"{pivot_col} has values without a column of their own; unmatched_values() lists them")))
-    return out.select(first.alias(index[0]), *index[1:], *names)
+    # a filter, so that the keys stay what the rows are partitioned by
+    sound = F.when(F.col("_odd") == 0, F.lit(True)).otherwise(F.raise_error(F.lit(
+        f"{pivot_col} has values without a column of their own; unmatched_values() lists them")).cast("boolean"))
+    return out.where(sound).select(*index, *names)
 
 
 def unmatched_values(df: DataFrame, col: str, known: Sequence[str]) -> DataFrame:

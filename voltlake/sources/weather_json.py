@@ -99,7 +99,7 @@ def parse_weather(docs: DataFrame, body_col: str = "body", drop_null_columns: bo
             F.format_string("weather document of zone %s: %s", F.coalesce("bzn", F.lit("?")), what))))
     seq = F.col("doc_seq") if "doc_seq" in d.columns else F.lit(0)
     d = d.select("bzn", "Country", "_eic", seq.cast("long").alias("_seq"), "_d")
-    loc = F.map_values(F.col("_d.locations"))[0]
+    loc = F.get(F.map_values(F.col("_d.locations")), F.lit(0))
     fields = [n for n, _ in value_fields]
     # P8 per document, before the explode: a field with any null in this
     # document's values is nulled for the whole document (no shuffle needed,
