@@ -43,6 +43,11 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
     return hit[1]
 
 
+def forget_plans() -> None:
+    """Drop the plan objects kept so far, so that the next query builds its own (timing)."""
+    _PLANS.clear()
+
+
 def _feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _memo("feeds", spark, sf_dir, lambda: fx.feeds(spark, sf_dir))
 
