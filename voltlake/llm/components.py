@@ -1,9 +1,11 @@
 """Connected components of a table of links, on the cluster.
 
 Alternating large-star and small-star rounds (Kiveris et al., 2014): every
-round is one aggregate and one join of the links, written to the shared folder
-so that lineage stays short. Only a count and a checksum of the links reach
-the driver.
+half round is one aggregate, combined before its shuffle, and one join of the
+links to it. Both are written to the shared folder, so lineage stays short and
+the links of a node that a third of them have are joined to a plain table of
+one row a node, which Spark splits. Only a count and a checksum of the links
+reach the driver.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ def _star(sides: DataFrame) -> DataFrame:
 def _large(links: DataFrame) -> DataFrame:
     """Larger neighbours move to the least one."""
     sides = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
-    return sides.where("v > u").join(_star(sides), "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return sides.where("v > u").join(saved(_star(sides), "least"), "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the least of them."""
     sides = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = sides.groupBy("u").agg(F.min("v").alias("m"))
+    least = saved(sides.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = sides.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("u", "m")).distinct()
 
