@@ -82,3 +82,37 @@ def op10_embedding_near_dedup(spark, sf_dir):
 @register("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# --- DuckDB SQL ----------------------------------------------------------------------
+
+ORACLE["op8_substring_dedup"] = """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(ws[s:s + 34], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS s FROM w)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, s + k AS i
+  FROM (SELECT doc_id, s, unnest(range(0, 35)) AS k FROM win WHERE h IN (SELECT h FROM again))),
+each AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+ORACLE["op10_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+tops AS (SELECT x, min(y) AS m FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM pairs GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       least(vec_id, coalesce(m, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN tops ON tops.x = vec_id"""
