@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows handed to Python at once; texts in them are cut into chunks of CHUNK_BYTES.
-ARROW_ROWS = 2000
-CHUNK_BYTES = 4 << 20
+ARROW_ROWS = 1000
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

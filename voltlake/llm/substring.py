@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from voltlake.llm.common import bound_batches, rows_again, saved, text_chunks, whole_rows
 
 WINDOW = 35
-#: Size of the bitmaps that thin out what is shuffled: 16 MB, whatever the input.
-BITMAP_BITS = 1 << 27
+#: Size of the bitmaps that thin out what is shuffled: 8 MB, whatever the input.
+BITMAP_BITS = 1 << 26
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -174,9 +174,9 @@ def _bitmap(keys: DataFrame, col: str) -> np.ndarray:
     """Bits of the hashes of a column's values; at most BITMAP_BITS / 64 rows reach the driver."""
     bit = F.pmod(F.xxhash64(F.lit("bit"), col), F.lit(BITMAP_BITS))
     rows = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toPandas()
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toArrow()
     out = np.zeros(BITMAP_BITS // 64, np.int64)
-    out[rows["w"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64)
+    out[rows.column("w").to_numpy()] = rows.column("v").to_numpy()
     return out
 
 
