@@ -40,6 +40,9 @@ EXAMPLES = 2000
 TERMS = 512
 LEAST_CHI2 = 30.0
 LEAST_SHARE = 0.005
+#: An example with more terms counts for less when terms are chosen: copies of a very long one would make many of
+#: its words look telling.
+TYPICAL = 1000
 BLOCK = 64
 NEIGHBOURS = 15
 
@@ -98,8 +101,9 @@ def choose_terms(found: DataFrame, most: int = TERMS, least: float = LEAST_CHI2)
     bad, good = n.get(1, 0), n.get(0, 0)
     if not bad or not good:
         return []
-    per = found.select("toxic", F.explode("terms").alias("term")).groupBy("term") \
-        .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+    counts_for = F.least(F.lit(1.0), TYPICAL / F.greatest(F.size("terms"), F.lit(1)))
+    per = found.select("toxic", counts_for.alias("w"), F.explode("terms").alias("term")).groupBy("term") \
+        .agg(F.sum(F.col("toxic") * F.col("w")).alias("a"), F.sum((1 - F.col("toxic")) * F.col("w")).alias("b"))
     a, b, total = F.col("a"), F.col("b"), float(bad + good)
     gap = a * F.lit(float(good)) - b * F.lit(float(bad))
     other = F.lit(total) - a - b
