@@ -26,16 +26,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlake.llm.common import bound_batches, saved
 from voltlake.llm.components import components
 
-#: Vectors that the quantisers are fitted on, about.
-SAMPLE = 16_384
-#: Coarse lists at most; with few vectors there are fewer.
-LISTS = 256
+#: Vectors that the quantisers are fitted on at most, and of each list, about.
+SAMPLE, OF_EACH = 65_536, 32
+#: Coarse lists at most; twice the square root of the vectors' number, if that is less.
+LISTS = 2048
 #: Lists that a query goes to.
 PROBES = 24
 #: Components of a subspace, and codes of each.
@@ -49,6 +50,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 5) -> np.ndarray
     rng = np.random.default_rng(seed)
     if len(x) <= k:
         return x.copy()
+    x = x.astype(np.float32)
     at = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
         own = nearest(x, at, 1)[:, 0]
@@ -58,7 +60,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 5) -> np.ndarray
         some = counts > 0
         at[some] = sums[some] / counts[some, None]
         at[~some] = x[rng.choice(len(x), int((~some).sum()))]
-    return at
+    return at.astype(np.float64)
 
 
 def nearest(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -73,9 +75,13 @@ def nearest(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def list_number(n: int, lists: int = LISTS) -> int:
+    return int(max(1, min(lists, round(2 * n ** 0.5))))
+
+
 def fit(sample: np.ndarray, n: int, lists: int = LISTS) -> dict:
     """Quantisers for n vectors, from unit vectors of a sample (plain data; LISTS centroids at most)."""
-    k = int(max(1, min(lists, round(2 * n ** 0.5), len(sample))))
+    k = min(list_number(n, lists), len(sample))
     coarse = kmeans(sample, k)
     rest = sample - coarse[nearest(sample, coarse, 1)[:, 0]]
     wide = rest.shape[1]
@@ -142,9 +148,16 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[child], names[root[child]]
 
 
+def _vector(df: DataFrame, vec_col: str) -> Column:
+    """The column of vectors; singles stay singles, other numbers become doubles."""
+    kind = df.schema[vec_col].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(vec_col) if single else F.col(vec_col).cast("array<double>")
+
+
 def classes(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(node, least, m, vec): distinct vectors that can link, their smallest id and number of rows."""
-    vec = F.col(vec_col).cast("array<double>")
+    vec = _vector(df, vec_col)
     sound = vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(vec, lambda x: x != 0)
     return df.where(sound).select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")) \
         .groupBy("vec").agg(F.min("vec_id").alias("least"), F.count("*").alias("m")) \
@@ -158,6 +171,13 @@ def _stack(column, wide: int) -> np.ndarray:
     return out
 
 
+def _scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors scaled by a power of two near their largest component, so that squares neither overflow nor vanish
+    and no digit is lost, and their norms."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0))[1][:, None])
+    return x, np.linalg.norm(x, axis=1)
+
+
 def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int = PROBES, sample: int = SAMPLE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """((node, n): links of each class by rows, (a, b): a forest that spans the linked classes) of classes()."""
     spark = own.sparkSession
@@ -165,11 +185,14 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
     size = own.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("wide")).first()
     n, wide = size["n"], -(-(size["wide"] or WIDTH) // WIDTH) * WIDTH
     spot = F.pmod(F.xxhash64(F.lit("sample"), "node"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = own.where(spot < min(1.0, sample / max(1, n))).select("vec").toArrow()
+    chosen = own.where(spot < min(1.0, min(sample, OF_EACH * list_number(n, lists)) / max(1, n))).select("vec").toArrow()
     raw = _stack(chosen.column("vec"), wide) if n else np.zeros((0, wide))
     if not len(raw):
         raw = np.eye(1, wide)
-    model = fit(raw / np.linalg.norm(raw, axis=1, keepdims=True), n, lists)
+    raw, norms = _scaled(raw)
+    model = fit(raw / norms[:, None], n, lists)
+    # singles travel as singles; what is computed from them is computed in doubles
+    packed = np.float32 if isinstance(own.schema["vec"].dataType.elementType, T.FloatType) else np.float64
     shared = spark.sparkContext.broadcast(model)  # LISTS and CODES centroids
 
     def code(batches):
@@ -177,20 +200,18 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _stack(b.column(2), wide)
-            top = np.abs(x).max(1)  # scaled, so that squares neither overflow nor vanish
-            x = x / top[:, None]
-            norm = np.linalg.norm(x, axis=1)
+            raw = _stack(b.column(2), wide)
+            x, norm = _scaled(raw)
             near, codes, lost = encode(x / norm[:, None], v, probes)
             lengths = [len(y) for y in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), pa.array(lengths, pa.int32()), pa.array([r.tobytes() for r in x], pa.binary()),
-                pa.array(norm), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(lost),
+                b.column(0), b.column(1), pa.array(lengths, pa.int32()), pa.array([r.tobytes() for r in raw.astype(packed)], pa.binary()),
+                pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(lost),
                 pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))],
-                ["node", "m", "length", "vec", "norm", "codes", "lost", "probes"])
+                ["node", "m", "length", "vec", "codes", "lost", "probes"])
 
     coded = saved(own.select("node", "m", "vec").mapInArrow(
-        code, "node long, m long, length int, vec binary, norm double, codes binary, lost double, probes array<int>"), "codes")
+        code, "node long, m long, length int, vec binary, codes binary, lost double, probes array<int>"), "codes")
     home = F.col("probes")[0]
     asks = coded.select("*", F.explode("probes").alias("list"))
     # members and queries of each list: a row for each list
@@ -200,7 +221,7 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
     count = saved(count, "lists")
     spread = lambda salt, k: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    cols = ["list", "m_block", "q_block", "member", "node", "m", "length", "vec", "norm", "codes", "lost", "probes"]
+    cols = ["list", "m_block", "q_block", "member", "node", "m", "length", "vec", "codes", "lost", "probes"]
     with_blocks = asks.join(F.broadcast(count), "list")  # LISTS rows at most
     queries = with_blocks.withColumn("q_block", spread("q", "q_blocks")).withColumn("m_block", every("m_blocks")) \
         .withColumn("member", F.lit(False)).withColumn("codes", F.lit(None).cast("binary")).select(*cols)
@@ -215,14 +236,15 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
         def part(mask: np.ndarray) -> dict:
             t = table.filter(pa.array(mask))
             k = t.num_rows
+            vec, norm = _scaled(np.frombuffer(b"".join(t.column("vec").to_pylist()), packed).reshape(k, wide).astype(np.float64))
             return {"node": t.column("node").to_numpy(), "m": t.column("m").to_numpy(), "length": t.column("length").to_numpy(),
-                    "vec": np.frombuffer(b"".join(t.column("vec").to_pylist()), np.float64).reshape(k, wide), "norm": t.column("norm").to_numpy(),
+                    "vec": vec, "norm": norm,
                     "lost": t.column("lost").to_numpy(), "probes": np.array(t.column("probes").to_pylist(), np.int64).reshape(k, -1),
-                    "codes": np.frombuffer(b"".join(x or b"" for x in t.column("codes").to_pylist()), np.uint8).reshape(k, -1) if k and mask is side else None}
+                    "codes": np.frombuffer(b"".join(x or b"" for x in t.column("codes").to_pylist()), np.uint8).reshape(k, -1) if mask is side else None}
 
-        mem, ask = part(side), part(~side)
         nodes, counts, a, b = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(mem["node"]) and len(ask["node"]):
+        if side.any() and not side.all():  # members and queries
+            mem, ask = part(side), part(~side)
             q, m = search(ask, mem, v["coarse"][number], v["codes"], least)
             back = (mem["probes"][m] == ask["probes"][q, :1]).any(1)  # the member's own search sees this pair too
             ends = np.concatenate([ask["node"][q], mem["node"][m][~back]])
@@ -250,7 +272,7 @@ def near_copies(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
         .select("node", "least", "vec", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     heads = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     named = joined.join(heads, "component").select("vec", "n_links", "component_id")
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), _vector(df, vec_col).alias("vec"))
     out = rows.join(named, "vec", "left")
     top = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), top.alias("component_id"),
