@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import bound_batches, id_text, text_chunks
+from voltlake.llm.common import bound_batches, id_text, rows_again, text_chunks, whole_rows
 
 #: Labelled rows of each language that the machines are fitted on, about.
 SAMPLE = 300
@@ -188,11 +188,12 @@ def keep_identified(df: DataFrame, model: dict, text_col: str = "text", least: f
     bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def known(texts):
-        import pandas as pd
+    rows = df.select(whole_rows(df, but=text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+
+    def known(batches):
         one = scorer(shared.value)
-        got = [one(t or "") for t in texts]
-        return pd.Series([a != "und" and s >= least for a, s in got], dtype=bool)
+        for part, texts in text_chunks(batches):
+            got = [one(t) for t in texts]
+            yield part.filter(pa.array([a != "und" and s >= least for a, s in got], pa.bool_()))
 
-    return df.where(known(F.col(text_col).cast("string")))
+    return rows_again(rows.mapInArrow(known, rows.schema), "row", df.columns, {text_col: F.col("text")})

@@ -29,17 +29,18 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlake.llm.common import bound_batches, rows_again, saved, text_chunks, whole_rows
 
 WINDOW = 35
-#: Size of the bitmaps that thin out what is shuffled: 8 MB, whatever the input.
-BITMAP_BITS = 1 << 26
+#: Size of the bitmaps that thin out what is shuffled: 524,288 words at most, whatever the input. With more keys
+#: than bits they thin out less, and the results stay the same.
+BITMAP_BITS = 1 << 25
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -170,26 +171,18 @@ def _emit_windows(window: int):
     return run
 
 
-def _bitmap(keys: DataFrame, col: str) -> np.ndarray:
-    """Bits of the hashes of a column's values; at most BITMAP_BITS / 64 rows reach the driver."""
-    bit = F.pmod(F.xxhash64(F.lit("bit"), col), F.lit(BITMAP_BITS))
-    rows = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toArrow()
-    out = np.zeros(BITMAP_BITS // 64, np.int64)
-    out[rows.column("w").to_numpy()] = rows.column("v").to_numpy()
-    return out
-
+def _bit(col: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("bit"), col), F.lit(BITMAP_BITS))
 
-def _may_hold(spark, bitmap: np.ndarray, col: str) -> Column:
-    """Whether the bitmap has the bit of a column's value: always if the value was among its keys."""
-    shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def has(bit):
-        b = bit.to_numpy(np.int64)
-        return pd.Series((shared.value[b >> 6] >> (b & 63)) & 1 == 1)
-
-    return has(F.pmod(F.xxhash64(F.lit("bit"), F.col(col)), F.lit(BITMAP_BITS)))
+def _marked(df: DataFrame, col: str, keys: DataFrame, key: str) -> DataFrame:
+    """df with column _may: whether a bitmap of the keys has the bit of col's value, so always if the value is among
+    them. The bitmap is broadcast as a table of words; it has BITMAP_BITS / 64 rows at most."""
+    words = keys.select(_bit(key).alias("b")).groupBy(F.shiftright("b", 6).alias("_word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("_bits"))
+    own = df.withColumns({"_word": F.shiftright(_bit(col), 6), "_at": _bit(col).bitwiseAND(F.lit(63)).cast("int")})
+    may = F.coalesce(F.expr("shiftrightunsigned(_bits, _at)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return own.join(F.broadcast(words), "_word", "left").withColumn("_may", may).drop("_word", "_bits", "_at")
 
 
 def _twice(rows: DataFrame, what: str) -> DataFrame:
@@ -210,7 +203,7 @@ def repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> Data
     # 1: base sequences
     bases = saved(texts.mapInArrow(_emit_bases(window), "k long, pos int, h long, rh int, lh int"), "bases")
     twice = _twice(bases, "twice")
-    stay = bases.where(_may_hold(spark, _bitmap(twice, "h"), "h")).join(twice, "h", "left_semi")
+    stay = _marked(bases, "h", twice, "h").where("_may").drop("_may").join(twice, "h", "left_semi")
 
     # 2: twice as long, to either side
     sides = saved(stay.select(
@@ -224,7 +217,7 @@ def repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> Data
         F.collect_set(F.when(~F.col("right"), F.col("pos"))).alias("lefts")), "places")
 
     # 3: whole windows
-    some = texts.where(_may_hold(spark, _bitmap(places, "k"), "k")).groupBy("k").agg(F.first("text").alias("text"))
+    some = _marked(texts, "k", places, "k").where("_may").groupBy("k").agg(F.first("text").alias("text"))
     windows = saved(some.join(places, "k").select("k", "text", "rights", "lefts")
                     .mapInArrow(_emit_windows(window), "k long, pos int, h long"), "windows")
     again = saved(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
@@ -249,9 +242,7 @@ def covered(n: int, starts, whole: bool, window: int) -> np.ndarray:
 def _split(df: DataFrame, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
     """df's rows whose text may have repeats, with columns _starts and _whole, and the others."""
     found = repeats(df, text_col, window)
-    own = df.withColumn("_k", key_of(F.col(text_col)))
-    may = _may_hold(df.sparkSession, _bitmap(found, "k"), "_k")
-    marked = own.withColumn("_may", may)
+    marked = _marked(df.withColumn("_k", key_of(F.col(text_col))), "_k", found, "k")
     hit = marked.where("_may").drop("_may").join(
         found.select(F.col("k").alias("_k"), F.col("starts").alias("_starts"), F.col("whole").alias("_whole")), "_k", "left")
     return hit.drop("_k"), marked.where("not _may").drop("_may", "_k")
@@ -290,14 +281,16 @@ def remove_repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW)
     rows = df.select(whole_rows(df, but=text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
     hit, rest = _split(rows, "text", window)
 
-    @F.pandas_udf("string")
-    def kept(texts: pd.Series, starts: pd.Series, wholes: pd.Series) -> pd.Series:
-        out = []
-        for t, s, w in zip(texts, starts, wholes, strict=True):
-            words = words_of(t or "")
-            drop = covered(len(words), [] if s is None else s, w is not None and bool(w), window)
-            out.append(b" ".join([x for x, d in zip(words, drop.tolist(), strict=True) if not d]).decode() if drop.any() else t)
-        return pd.Series(out, dtype=object)
+    own = hit.select("row", "text", "_starts", "_whole")
+
+    def kept(batches):
+        for part, texts in text_chunks(batches):
+            out = []
+            for t, null, s, w in zip(texts, part.column(1).is_null().to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                words = words_of(t)
+                drop = covered(len(words), s or [], bool(w), window)
+                out.append(b" ".join([x for x, d in zip(words, drop.tolist(), strict=True) if not d]).decode() if drop.any() else None if null else t)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], ["row", "text"])
 
-    cut = hit.withColumn("text", kept("text", "_starts", "_whole"))
+    cut = own.mapInArrow(kept, T.StructType([own.schema["row"], T.StructField("text", T.StringType())]))
     return rows_again(cut, "row", df.columns, {text_col: F.col("text")}).union(rows_again(rest, "row", df.columns, {text_col: F.col("text")}))
