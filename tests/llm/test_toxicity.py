@@ -74,3 +74,15 @@ def test_without_labels(spark):
         model = toxicity.learn(df, spark.createDataFrame(labels, "doc_id long, toxic int"), learn_from=F.lit(True))
         scores = {r.score for r in toxicity.score(df, model).collect()}
         assert scores == {float(bool(labels and labels[0][1]))}
+
+
+def test_rare_terms_count(spark):
+    """Each telling word is in two examples of 600: a cut by size or share of the examples would leave all of them out."""
+    docs = spark.createDataFrame([(i, f"filler{i} words here " + (f"insult{i // 6}zz" if i % 3 == 0 else f"kindly{i // 6}zz")) for i in range(600)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    model = toxicity.learn(docs, labels, learn_from=F.lit(True))
+    assert "insult7zz" in model["terms"] and "kindly7zz" in model["terms"]
+    new = spark.createDataFrame([(1, "one insult7zz more"), (2, "one kindly7zz more")], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(new, model).collect()}
+    assert {42, 45} <= {e.id for e in got[1].evidence} and all(e.toxic == 1 for e in got[1].evidence)
+    assert got[1].score > 0.8 and got[2].score < 0.2

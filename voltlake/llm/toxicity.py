@@ -1,33 +1,36 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over the terms that the labels depend on
-most; terms are lower-cased words and, so that inflected forms meet, their
-first STEMS letters. Each text is compared by exact cosine with its nearest examples, found in
-an inverted index whose postings lie in blocks of BLOCK examples with the
-largest weight of each: blocks are opened in the order of their bounds until
-none left can hold a nearer example. Similarities weigh the examples' votes,
-the votes are calibrated on the examples themselves (each without itself), and
-the nearest examples are the evidence.
+Examples and texts are TF-IDF vectors over all terms of the examples, each term
+times its correlation with the label (phi, from 0 to 1, by the examples); terms
+are lower-cased words and, so that inflected forms meet, their first STEMS
+letters. No term is left out: those that toxic or clean texts have alone count
+most, however rare, and those that both have alike count little. Each text is
+compared by exact cosine with its nearest examples, found in an inverted index.
+The postings of its heaviest terms are added up first; what the others can add
+is bounded by their norm and by the largest weights of each block of BLOCK
+examples, and only examples that can still be among the nearest are finished.
+Similarities weigh the examples' votes against one vote for clean, the votes
+are calibrated on the examples themselves (each without itself), and the
+nearest examples are the evidence.
 
 Examples are a bounded sample of the labelled rows (EXAMPLES of each label,
 chosen by a hash of the id). Document frequencies are counted over all texts.
-The index has at most 2 * EXAMPLES rows and TERMS terms, and is broadcast.
+The index has at most 2 * EXAMPLES rows and their terms, and is broadcast.
 
-Null and empty texts, and those without such a term, get the share of toxic
-examples among those that have none either. Ties between examples go to the
-smaller id. Without labels of both kinds every score is the share of toxic
+Null and empty texts, and others that meet no example, have a vote of 0. Ties
+between examples go to the smaller id. Without labels of both kinds every score is the share of toxic
 labels, 0 if there are none. Repeated rows give repeated results, repeated
 labels count once (toxic if any is); an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +39,7 @@ from voltlake.llm.langid import held_out
 
 #: Labelled rows of each label that serve as examples, about.
 EXAMPLES = 2000
-#: Terms of the index at most, the chi-square that they need, and the share of the toxic examples that have them.
-TERMS = 512
-LEAST_CHI2 = 30.0
-LEAST_SHARE = 0.005
-#: An example with more terms counts for less when terms are chosen: copies of a very long one would make many of
+#: An example with more terms counts for less in the terms' correlations: copies of a very long one would make many of
 #: its words look telling.
 TYPICAL = 1000
 BLOCK = 64
@@ -51,13 +50,10 @@ STEMS = (4, 5, 6)
 _WORD = re.compile(r"\w+")
 
 
-def terms_of(text: str, heads: frozenset[str] | None = None) -> Counter:
-    """Words and stems (marked *) with their counts; with heads, only of words that begin with one of these."""
-    words = _WORD.findall(text.lower())
-    if heads is not None:
-        words = [w for w in words if w[:STEMS[0]] in heads]
+def terms_of(text: str) -> Counter:
+    """Words and stems (marked *) with their counts."""
     out: Counter = Counter()
-    for w, n in Counter(words).items():
+    for w, n in Counter(_WORD.findall(text.lower())).items():
         out[w] += n
         for k in STEMS:
             if len(w) >= k:
@@ -65,9 +61,28 @@ def terms_of(text: str, heads: frozenset[str] | None = None) -> Counter:
     return out
 
 
-def heads_of(terms) -> frozenset[str]:
-    """The first letters of words that may have one of the terms."""
-    return frozenset(t.removesuffix("*")[:STEMS[0]] for t in terms)
+class Lexicon:
+    """Numbers of the known terms of texts; those of a word are kept for the next text that has it."""
+
+    def __init__(self, terms: list[str]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers, rising, and counts."""
+        memo, number = self.memo, self.number
+        if len(memo) > 200_000:
+            memo.clear()
+        flat: list[int] = []
+        counts: list[int] = []
+        for w, n in Counter(_WORD.findall(text.lower())).items():
+            own = memo.get(w)
+            if own is None:
+                own = memo[w] = tuple(number[t] for t in (w, *(w[:k] + "*" for k in STEMS if len(w) >= k)) if t in number)
+            flat += own
+            counts += (n,) * len(own)
+        at, place = np.unique(np.array(flat, np.int64), return_inverse=True)
+        return at, np.bincount(place, counts, len(at))
 
 
 def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
@@ -95,86 +110,116 @@ def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
     return saved(rows.mapInArrow(run, "id long, toxic int, weight double, terms array<string>, counts array<int>"), "examples")
 
 
-def choose_terms(found: DataFrame, most: int = TERMS, least: float = LEAST_CHI2) -> list[str]:
-    """The terms that labels depend on most, by chi-square over the examples."""
-    n = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bad, good = n.get(1, 0), n.get(0, 0)
-    if not bad or not good:
-        return []
-    counts_for = F.least(F.lit(1.0), TYPICAL / F.greatest(F.size("terms"), F.lit(1)))
-    per = found.select("toxic", counts_for.alias("w"), F.explode("terms").alias("term")).groupBy("term") \
-        .agg(F.sum(F.col("toxic") * F.col("w")).alias("a"), F.sum((1 - F.col("toxic")) * F.col("w")).alias("b"))
-    a, b, total = F.col("a"), F.col("b"), float(bad + good)
-    gap = a * F.lit(float(good)) - b * F.lit(float(bad))
-    other = F.lit(total) - a - b
-    chi2 = F.lit(total) * gap * gap / (F.lit(float(bad) * good) * (a + b) * F.greatest(other, F.lit(1.0)))
-    top = per.withColumn("chi2", chi2).where((F.col("chi2") >= least) & (a >= LEAST_SHARE * bad) & (gap > 0)).orderBy(F.desc("chi2"), "term").limit(most)
-    return sorted(r["term"] for r in top.select("term").collect())
-
-
-def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
+def correlations(toxic: np.ndarray, row: np.ndarray, term: np.ndarray, n_terms: int) -> np.ndarray:
+    """Phi of each term with the label over the examples, regardless of sign; row and term: where each entry stands."""
+    bad, good = float(toxic.sum()), float((1 - toxic).sum())
+    counts_for = np.minimum(1.0, TYPICAL / np.maximum(np.bincount(row, minlength=len(toxic)), 1))[row]
+    a = np.bincount(term, counts_for * toxic[row], n_terms)
+    b = np.bincount(term, counts_for * (1 - toxic[row]), n_terms)
+    gap = a * good - b * bad
+    return np.minimum(1.0, np.abs(gap) / np.sqrt(bad * good * (a + b) * np.maximum(bad + good - a - b, 1.0)))
+
+
+def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, np.ndarray]:
     """The number of texts, and of those that have each of the terms, over all texts."""
-    known, heads = frozenset(terms), heads_of(terms)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        total, seen = 0, Counter()
+        lexicon = Lexicon(shared.value)
+        total, seen = 0, np.zeros(len(shared.value), np.int64)
         for _, texts in text_chunks(batches):
             total += len(texts)
             for t in texts:
-                seen.update(known.intersection(terms_of(t, heads)))
-        yield pa.RecordBatch.from_arrays([pa.array(["", *seen], pa.string()), pa.array([total, *seen.values()], pa.int64())], ["term", "n"])
+                seen[lexicon.of(t)[0]] += 1
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, some), pa.int64()), pa.array(np.append(total, seen[some]), pa.int64())], ["term", "n"])
 
     two = docs.select(F.col(text_col).cast("string").alias("text"))
-    got = two.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n = {r["term"]: r["n"] for r in got}
-    return n.pop("", 0), n
+    got = two.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    at, n = got["term"].to_numpy(), got["n"].to_numpy()
+    df = np.zeros(len(terms), np.int64)
+    df[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), df
 
 
-def vector(counts: dict[str, int], number: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit TF-IDF vector over the known terms: their numbers and weights."""
-    own = sorted((number[t], c) for t, c in counts.items() if t in number)
-    at = np.array([i for i, _ in own], np.int64)
-    w = (1 + np.log(np.array([c for _, c in own], np.float64))) * idf[at] if len(at) else np.zeros(0)
+def vector(at: np.ndarray, counts: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vector of a text's terms: their numbers and weights; by: what each term's count is multiplied with."""
+    w = (1 + np.log(counts)) * by[at]
+    at, w = at[w > 0], w[w > 0]
     return at, w / np.sqrt((w * w).sum()) if len(w) else w
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 class Index:
-    """Inverted index over the examples: weights by term and block, and the largest of each."""
+    """Inverted index over the examples: postings by term, the largest weight of each term and block, and the vectors."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        blocks = max(1, -(-len(vectors) // BLOCK))
-        self.postings = np.zeros((n_terms, blocks, BLOCK))
-        for i, (at, w) in enumerate(vectors):
-            self.postings[at, i // BLOCK, i % BLOCK] = w
-        self.highest = self.postings.max(2)
+        self.n = len(vectors)
+        sizes = np.array([len(at) for at, _ in vectors], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.at = np.concatenate([np.zeros(0, np.int32), *[at for at, _ in vectors]]).astype(np.int32)
+        self.w = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
+        order = np.argsort(self.at, kind="stable")
+        self.who, self.weight = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order], self.w[order]
+        term = self.at[order].astype(np.int64)
+        self.starts = np.searchsorted(term, np.arange(n_terms + 1))
+        blocks = max(1, -(-self.n // BLOCK))
+        head = np.flatnonzero(np.diff(term * blocks + self.who // BLOCK, prepend=-1))
+        self.highest = np.maximum.reduceat(self.weight, head) if len(head) else np.zeros(0)
+        self.block = self.who[head] // BLOCK
+        self.block_starts = np.searchsorted(term[head], np.arange(n_terms + 1))
+        self.query = np.zeros(n_terms)
+
+    def _left(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What these terms can add to the cosine of an example at most."""
+        sizes = self.block_starts[at + 1] - self.block_starts[at]
+        here = _ranges(self.block_starts[at], sizes)
+        by_block = np.bincount(self.block[here], self.highest[here] * np.repeat(w, sizes), max(1, -(-self.n // BLOCK)))
+        return np.repeat(np.minimum(by_block, np.sqrt((w * w).sum())), BLOCK)[:self.n]
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a cosine over 0 (all of them if fewer), nearest first."""
-        bounds = w @ self.highest[at] if len(at) else np.zeros(0)
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        ids, sims = np.zeros(0, np.int64), np.zeros(0)
-        own = self.postings[at] if len(at) else None
-        done, step = 0, 4
-        while done < len(order):
-            if len(sims) >= k and bounds[order[done]] < sims[-1] - 1e-12:
+        heavy = np.argsort(-w, kind="stable")
+        at, w = at[heavy], w[heavy]
+        sizes = self.starts[at + 1] - self.starts[at]
+        upto = np.cumsum(sizes)
+        total = int(upto[-1]) if len(at) else 0
+        sims, done = np.zeros(self.n), 0
+        alive = np.ones(self.n, bool)
+        alive[skip:skip + 1 if skip >= 0 else 0] = False
+        for part in (8, 4, 2, 1):
+            stop = max(done, int(np.searchsorted(upto, total // part, "right")))
+            if stop > done:
+                some = sizes[done:stop]
+                here = _ranges(self.starts[at[done:stop]], some)
+                sims += np.bincount(self.who[here], self.weight[here] * np.repeat(w[done:stop], some), self.n)
+                done = stop
+            if done == len(at) or self.n <= k:
+                continue
+            least = np.partition(np.where(alive, sims, 0), self.n - k)[self.n - k]
+            may = np.flatnonzero(alive & (sims + self._left(at[done:], w[done:]) >= least - 1e-12))
+            own = self.first[may + 1] - self.first[may]
+            if own.sum() <= total - int(upto[done - 1] if done else 0):
+                here = _ranges(self.first[may], own)
+                self.query[at] = w
+                sums = np.bincount(np.repeat(np.arange(len(may)), own), self.w[here] * self.query[self.at[here]], len(may))
+                self.query[at] = 0
+                alive[:] = False
+                alive[may], sims[may] = True, sums
                 break
-            some = order[done:done + step]
-            got = np.tensordot(w, own[:, some], 1)
-            numbers = some[:, None] * BLOCK + np.arange(BLOCK)
-            keep = (got > 0) & (numbers != skip)
-            ids, sims = np.concatenate([ids, numbers[keep]]), np.concatenate([sims, got[keep]])
-            best = np.lexsort((ids, -sims))[:k]
-            ids, sims = ids[best], sims[best]
-            done, step = done + step, step * 2
-        return ids, sims
-
-
-def vote(ids, sims, toxic: np.ndarray, weight: np.ndarray, rate: float) -> float:
-    """Share of toxic among the neighbours, weighted by similarity, with one vote at the base rate."""
+        ids = np.flatnonzero(alive & (sims > 0))
+        ids = ids[np.lexsort((ids, -sims[ids]))[:k]]
+        return ids, sims[ids]
+
+
+def vote(ids, sims, toxic: np.ndarray, weight: np.ndarray) -> float:
+    """Share of toxic among the neighbours, weighted by similarity, with one vote for clean."""
     w = sims ** 2 * weight[ids]
-    one = float(weight.mean())
-    return float(((w * toxic[ids]).sum() + rate * one) / (w.sum() + one))
+    return float((w * toxic[ids]).sum() / (w.sum() + float(weight.mean())))
 
 
 def rising(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,51 +238,47 @@ def rising(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
 def learn(docs: DataFrame, labels: DataFrame, **options) -> dict:
     """A model (plain data, bounded) from labelled documents; options as of examples()."""
     text_col = options.get("text_col", "text")
-    found = examples(docs, labels, **options)
-    terms = choose_terms(found)
-    known = F.array(*[F.lit(t) for t in terms]).cast("array<string>") if terms else F.array().cast("array<string>")
-    kept = F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(known, x["terms"]))
-    rows = found.withColumn("own", kept).select("id", "toxic", "weight", "own.terms", "own.counts").dropDuplicates(["id"]).collect()
-    rows.sort(key=lambda r: r["id"])
-    total, df = document_frequencies(docs, terms, text_col) if terms else (0, {})
-    idf = np.array([math.log((total + 1) / (df.get(t, 0) + 1)) + 1 for t in terms])
-    number = {t: i for i, t in enumerate(terms)}
-    vectors = [vector(dict(zip(r["terms"], r["counts"], strict=True)), number, idf) for r in rows]
-    toxic, weight = np.array([r["toxic"] for r in rows], np.float64), np.array([r["weight"] for r in rows], np.float64)
-    bare = np.array([not len(at) for at, _ in vectors], bool)
-    rate = float((toxic * weight).sum() / weight.sum()) if len(rows) else 0.0
-    none = float((toxic * weight)[bare].sum() / weight[bare].sum()) if bare.any() else rate
-    model = {"number": number, "idf": idf, "ids": np.array([r["id"] for r in rows], np.int64), "toxic": toxic,
-             "weight": weight, "vectors": vectors, "rate": rate, "none": none, "x": np.array([0.0, 1.0]), "y": np.array([0.0, 1.0])}
-    if terms:
-        index = Index(vectors, len(terms))
-        some = np.flatnonzero(~bare)
-        raw = np.array([vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=i), toxic, weight, rate) for i in some.tolist()])
-        model["x"], model["y"] = rising(raw, toxic[some], weight[some])
-    return model
+    found = examples(docs, labels, **options).dropDuplicates(["id"]).toArrow().combine_chunks().sort_by("id")
+    toxic, weight = found["toxic"].to_numpy().astype(np.float64), found["weight"].to_numpy()
+    rate = float((toxic * weight).sum() / weight.sum()) if len(toxic) else 0.0
+    model = {"terms": [], "by": np.zeros(0), "ids": found["id"].to_numpy(), "toxic": toxic, "weight": weight, "vectors": [],
+             "rate": rate, "x": np.array([0.0, 1.0]), "y": np.array([0.0, 1.0])}
+    if toxic.min(initial=1) == toxic.max(initial=0):
+        return model
+    sizes = pc.list_value_length(found["terms"]).to_numpy()
+    row, counts = np.repeat(np.arange(len(toxic)), sizes), pc.list_flatten(found["counts"]).to_numpy()
+    words = pc.list_flatten(found["terms"]).combine_chunks().dictionary_encode()
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    terms, term = words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64)
+    if not terms:
+        return model
+    total, df = document_frequencies(docs, terms, text_col)
+    by = (np.log((total + 1) / (df + 1)) + 1) * correlations(toxic, row, term, len(terms))
+    stops = np.cumsum(sizes)
+    vectors = []
+    for a, b in zip(stops - sizes, stops, strict=True):
+        order = np.argsort(term[a:b])
+        vectors.append(vector(term[a:b][order], counts[a:b][order], by))
+    index = Index(vectors, len(terms))
+    raw = np.array([vote(*index.nearest(*v, NEIGHBOURS, skip=i), toxic, weight) for i, v in enumerate(vectors)])
+    x, y = rising(raw, toxic, weight)
+    return model | {"terms": terms, "by": by, "vectors": vectors, "x": x, "y": y}
 
 
 def scorer(model: dict):
     """A function from a text to its score and evidence [(id, similarity, toxic)]."""
-    number, idf, toxic, weight = model["number"], model["idf"], model["toxic"], model["weight"]
-    index = Index(model["vectors"], len(number)) if number else None
-    heads = heads_of(number)
-    memo: dict[tuple, tuple[float, list]] = {}
+    toxic, weight, by = model["toxic"], model["weight"], model["by"]
+    if not model["terms"]:
+        return lambda text: (model["rate"], [])
+    index, lexicon = Index(model["vectors"], len(by)), Lexicon(model["terms"])
 
     def one(text: str) -> tuple[float, list]:
-        counts = {t: n for t, n in terms_of(text, heads).items() if t in number}
-        if not counts:
-            return model["none"], []
-        key = tuple(sorted(counts.items()))
-        if key not in memo:
-            if len(memo) > 100_000:
-                memo.clear()
-            ids, sims = index.nearest(*vector(counts, number, idf), NEIGHBOURS)
-            raw = vote(ids, sims, toxic, weight, model["rate"])
-            fit = float(np.interp(raw, model["x"], model["y"]))
-            top = [(int(model["ids"][i]), float(s), int(toxic[i])) for i, s in zip(ids[:3], sims[:3], strict=True)]
-            memo[key] = (0.9 * fit + 0.1 * raw, top)  # a little of the raw vote keeps order within a level
-        return memo[key]
+        ids, sims = index.nearest(*vector(*lexicon.of(text), by), NEIGHBOURS)
+        raw = vote(ids, sims, toxic, weight)
+        fit = float(np.interp(raw, model["x"], model["y"]))
+        top = [(int(model["ids"][i]), float(s), int(toxic[i])) for i, s in zip(ids[:3], sims[:3], strict=True)]
+        return 0.9 * fit + 0.1 * raw, top  # a little of the raw vote keeps order within a level
     return one
 
 
