@@ -68,3 +68,19 @@ def test_edges(spark, model):
     long = spark.createDataFrame([(1, many)], "doc_id long, text string")
     assert [(r.start, r.end) for r in secrets.scan(long, model).orderBy("start").collect()] == brute(many)
     assert secrets.scan(df.limit(0), model).count() == 0 and secrets.redact(df.limit(0), model).count() == 0
+
+
+def test_compound_names(spark, model):
+    texts = {
+        1: ("set DB_PASSWORD=Tr0ub4dor&3 now", "Tr0ub4dor&3"), 2: ('a client_secret: "s3cr3tvalue" b', "s3cr3tvalue"), 3: ("SECRET_KEY=q9x!7fLw2@pZ", "q9x!7fLw2@pZ"),
+        4: ("with userPassword=hunter2abc here", "hunter2abc"), 5: ("MYSQL_ROOT_PASSWORD=correcthorsebatterystaple", "correcthorsebatterystaple"),
+        6: ("etc/DB2_SERVICE_PASSWORD=Tr0ub4dor&3 x", "Tr0ub4dor&3"), 7: ("spring.datasource.password: Tr0ub4dor&3", "Tr0ub4dor&3"),
+        8: ("password_for_database_2024=Tr0ub4dor&3", "Tr0ub4dor&3"), 9: ("password=Tr0ub4dor&3", "Tr0ub4dor&3")}
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    rows = secrets.scan(df, model).collect()
+    assert {r.doc_id: (texts[r.doc_id][0][r.start:r.end], r.kind) for r in rows} == {i: (v, "assigned_value") for i, (_, v) in texts.items()}
+    assert len(rows) == len(texts) and {r.doc_id for r in rows if r.is_secret} >= {1, 2, 3, 4, 6, 7, 8, 9}
+    clean = {r.doc_id: r.text for r in secrets.redact(df, model).collect()}
+    assert clean[1] == "set DB_PASSWORD=<secret> now" and clean[2] == 'a client_secret: "<secret>" b'
+    hard = spark.createDataFrame([(1, "pass" * 50_000 + "1=x"), (2, "." * 200_000), (3, "a.b=" * 50_000)], "doc_id long, text string")
+    assert secrets.scan(hard, model).count() >= 0

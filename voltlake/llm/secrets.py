@@ -1,6 +1,6 @@
 """Secret scan in DataFrame operations only.
 
-Candidates are values assigned to a telling name, tokens of 16 characters and
+Candidates are values assigned to a name with a telling word in it, tokens of 16 characters and
 more with a digit, and private-key blocks. A random forest tells findings from
 false positives by a candidate's length, character transitions, dictionary
 coverage, whether it is part of a path, and the words beside it. It is trained
@@ -33,9 +33,12 @@ _NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?ke
 _VALUE = r"[^\s\"']{5,}[A-Za-z0-9+/=_]"
 _TOKEN = r"(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
 _BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
-_ASSIGNED = rf"{_NAME}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?"
+_RUN = r"[A-Za-z0-9_.+/-]"
+#: A name with a telling word anywhere in it. Names are tried at their first character only, so a long one is read a few
+#: times at most; the rarer condition, that something is assigned, comes first.
+_ASSIGNED = rf"(?<!{_RUN})(?={_RUN}++[\"']?\s{{0,3}}[:=])(?={_RUN}*?{_NAME}){_RUN}++[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?"
 #: One candidate, in Java's syntax; tokens are tried at their first character only.
-PATTERN = rf"(?<![A-Za-z0-9_+/-])(?:{_ASSIGNED}{_VALUE}|{_TOKEN})|{_BLOCK}"
+PATTERN = rf"{_ASSIGNED}{_VALUE}|(?<![A-Za-z0-9_+/-]){_TOKEN}|{_BLOCK}"
 
 # Words that made-up names and placeholders are built from.
 DICTIONARY = (
@@ -109,6 +112,8 @@ LABELLED: tuple[tuple[int, str], ...] = (
     (1, "auth bearer {eyJ%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~"), (1, "{secret: %%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~"), (1, "~ login {pwd=%%%%%%%%%%} ~"),
     (1, "~ {AIza%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~"), (1, "access key is {%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~"), (1, "~ {auth=%%%%%%%%%%%%%%%%==} ~"),
     (1, "~ {-----BEGIN RSA PRIVATE KEY----- %%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%% -----END RSA PRIVATE KEY-----} ~"), (1, "~ {token=%%%%%%%%%%%%%%%%%%%%} ~"),
+    (1, "~ {DB_PASSWORD=%%%%%%%%&%} ~"), (1, '~ {client_secret: "%%%%%%%%%%%}" ~'), (1, "{SECRET_KEY=%%%!%%%%%%%%} ~"), (1, "~ {userPassword=%%%%%%%%%%%} ~"),
+    (0, "~ {author: ~~~~} ~"), (0, "~ {token_count=######} ~"), (0, "~ {passenger.name: ~~~} ~"), (0, "~ {DB_PASSWORD=changeme} ~"),
     (0, "~ ~ {################} ~ ~"), (0, "~ card {################} ~"), (0, "~ ~ {####-####-####-####} ~"), (0, "~ id {hhhhhhhh-hhhh-hhhh-hhhh-hhhhhhhhhhhh} ~"),
     (0, "commit {hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh} ~"), (0, "sha256 {hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh} ~"),
     (0, "md5 checksum {hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh} ~"), (0, "~ {/usr/local/lib/~#/~/~} ~"), (0, "https://~.com/{~/~/~-####/~} ~"), (0, "~ {~_~_~_##_~~} ~"),
