@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltlake.llm import bpe, conversations, embedding, langid, packing, pii, secrets, simhash, spotsigs, substring, toxicity
+from voltlake.llm import bpe, conversations, embedding, langid, packing, pii, runs, secrets, simhash, spotsigs, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op11_conversation_repair(spark, sf_dir):
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    return runs.report(runs.detect(table(spark, sf_dir, "documents"), planted=True))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
