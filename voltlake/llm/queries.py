@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltlake.llm import bpe, conversations, embedding, langid, packing, pii, runs, secrets, simhash, spotsigs, substring, toxicity
+from voltlake.llm import bpe, conversations, embedding, langid, packing, pii, quality, runs, secrets, simhash, spotsigs, substring, toxicity
 from voltlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,13 @@ def op11_conversation_repair(spark, sf_dir):
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+@register("op12_quality_classifier")
+def op12_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 @register("op13_periodic_runs")
 def op13_periodic_runs(spark, sf_dir):
     return runs.report(runs.detect(table(spark, sf_dir, "documents"), planted=True))
