@@ -32,6 +32,58 @@ def test_index_is_exact():
         assert len(ids) == len(order)
 
 
+@pytest.mark.parametrize("dense", [0, 5, 20])
+def test_index_is_exact_whatever_is_dense(monkeypatch, dense):
+    monkeypatch.setattr(toxicity, "DENSE", dense)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    test_index_is_exact()
+
+
+def test_scores_equal_brute_force(spark):
+    """Every score and the evidence from dictionaries and loops alone, over whole texts."""
+    import math
+    import re
+    from collections import Counter
+    rng = np.random.default_rng(4)
+    vocab = [f"word{i}" for i in range(60)] + ["Grumbling", "grumbler", "wretched"]
+    texts = [" ".join(rng.choice(vocab[:60], rng.integers(1, 30))) + (" grumbling, WRETCHED grumbles!" if i % 4 == 0 else "") for i in range(240)] + ["", "only strangers"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    toxic = {i: int(i % 4 == 0) for i in range(0, 240, 2)} | {i: 0 for i in range(1, 60, 2)}
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.learn(docs, labels, learn_from=F.lit(True))).collect()}
+
+    bags = [Counter(x for w in re.findall(r"\w+", t.lower()) for x in ([w, w[:6] + "*"] if len(w) >= 6 else [w])) for t in texts]
+    known = {w for i in toxic for w in bags[i]}
+    bad, good = sum(toxic.values()), len(toxic) - sum(toxic.values())
+    by = {}
+    for w in known:
+        a, b = (sum(w in bags[i] for i in toxic if toxic[i] == y) for y in (1, 0))
+        phi = abs(a * good - b * bad) / math.sqrt(bad * good * (a + b) * max(bad + good - a - b, 1))
+        by[w] = (math.log((len(texts) + 1) / (sum(w in c for c in bags) + 1)) + 1) * min(1.0, phi)
+
+    def unit(c):
+        v = {w: (1 + math.log(n)) * by[w] for w, n in c.items() if w in by}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    units = [unit(c) for c in bags]
+
+    def neighbours(i, but=None):
+        sims = sorted(((round(sum(x * units[j].get(w, 0) for w, x in units[i].items()), 12), -j) for j in toxic if j != but), reverse=True)
+        return [(s, -j) for s, j in sims if s > 0]
+
+    def vote(near):  # ties at the last place may go either way by rounding, so all of them are looked at below
+        near = near[:toxicity.NEIGHBOURS]
+        return sum(s * s * toxic[j] for s, j in near) / (sum(s * s for s, _ in near) + 1)
+
+    x, y = toxicity.rising(np.array([vote(neighbours(i, i)) for i in sorted(toxic)]), np.array([toxic[i] for i in sorted(toxic)], float), np.ones(len(toxic)))
+    for i in range(len(texts)):
+        near = neighbours(i)
+        raw = vote(near)
+        assert got[i].score == pytest.approx(0.9 * np.interp(raw, x, y) + 0.1 * raw, abs=1e-6)
+        assert [e.similarity for e in got[i].evidence] == pytest.approx([s for s, _ in near[:3]])
+
+
 def test_rising():
     x, y = toxicity.rising(np.array([0.1, 0.2, 0.2, 0.3, 0.9]), np.array([0.0, 1, 0, 0, 1]), np.ones(5))
     assert (np.diff(y) >= 0).all() and y[0] == 0 and y[-1] == 1

@@ -2,13 +2,16 @@
 
 Examples and texts are TF-IDF vectors over all terms of the examples, each term
 times its correlation with the label (phi, from 0 to 1, by the examples); terms
-are lower-cased words and, so that inflected forms meet, their first STEMS
-letters. No term is left out: those that toxic or clean texts have alone count
-most, however rare, and those that both have alike count little. Each text is
+are lower-cased words and, so that inflected forms meet, their first STEM letters.
+No term is left out: those that toxic or clean texts have alone count most,
+however rare, and those that both have alike count little. Each text is
 compared by exact cosine with its nearest examples, found in an inverted index.
-The postings of its heaviest terms are added up first; what the others can add
-is bounded by their norm and by the largest weights of each block of BLOCK
-examples, and only examples that can still be among the nearest are finished.
+The postings of rarer terms are added up. The DENSE most frequent ones, whose
+postings are long and whose weights are small, have a row of weights each
+instead: what they can add is bounded for each block of BLOCK examples by the
+block's largest weights, and only examples that can still be among the nearest
+are finished with them. Examples are grouped by content, so that a block's
+largest weights say something about its members.
 Similarities weigh the examples' votes against one vote for clean, the votes
 are calibrated on the examples themselves (each without itself), and the
 nearest examples are the evidence.
@@ -20,7 +23,8 @@ The index has at most 2 * EXAMPLES rows and their terms, and is broadcast.
 Null and empty texts, and others that meet no example, have a vote of 0. Ties
 between examples go to the smaller id. Without labels of both kinds every score is the share of toxic
 labels, 0 if there are none. Repeated rows give repeated results, repeated
-labels count once (toxic if any is); an empty table gives an empty one.
+labels count once (toxic if any is), and of several texts of one labelled id the
+least; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -45,45 +49,46 @@ TYPICAL = 1000
 BLOCK = 64
 NEIGHBOURS = 15
 
-STEMS = (4, 5, 6)
+STEM = 6
+#: Most frequent terms that are kept as rows of weights: 16 MB at 2 * EXAMPLES examples.
+DENSE = 512
 
 _WORD = re.compile(r"\w+")
 
 
 def terms_of(text: str) -> Counter:
     """Words and stems (marked *) with their counts."""
-    out: Counter = Counter()
-    for w, n in Counter(_WORD.findall(text.lower())).items():
-        out[w] += n
-        for k in STEMS:
-            if len(w) >= k:
-                out[w[:k] + "*"] += n
+    out = Counter(_WORD.findall(text.lower()))
+    for w, n in list(out.items()):
+        if len(w) >= STEM:
+            out[w[:STEM] + "*"] += n
     return out
 
 
 class Lexicon:
-    """Numbers of the known terms of texts; those of a word are kept for the next text that has it."""
+    """Numbers of the known terms of texts."""
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.memo: dict[str, tuple[int, ...]] = {}
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Numbers, rising, and counts."""
-        memo, number = self.memo, self.number
-        if len(memo) > 200_000:
-            memo.clear()
-        flat: list[int] = []
-        counts: list[int] = []
+        number, flat, counts = self.number, [], []
         for w, n in Counter(_WORD.findall(text.lower())).items():
-            own = memo.get(w)
-            if own is None:
-                own = memo[w] = tuple(number[t] for t in (w, *(w[:k] + "*" for k in STEMS if len(w) >= k)) if t in number)
-            flat += own
-            counts += (n,) * len(own)
+            for t in (w, w[:STEM] + "*") if len(w) >= STEM else (w,):
+                if (i := number.get(t)) is not None:
+                    flat.append(i)
+                    counts.append(n)
         at, place = np.unique(np.array(flat, np.int64), return_inverse=True)
         return at, np.bincount(place, counts, len(at))
 
+    def inside(self, text: str) -> list[int]:
+        """Numbers of the terms that a text has, in any order."""
+        number = self.number
+        words = set(_WORD.findall(text.lower()))
+        words |= {w[:STEM] + "*" for w in words if len(w) >= STEM}
+        return [number[t] for t in words if t in number]
+
 
 def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
              text_col: str = "text", label_col: str = "toxic", sample: int = EXAMPLES) -> DataFrame:
@@ -97,6 +102,7 @@ def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
     rate = F.create_map(*[F.lit(v) for k in share for v in (k, share[k])])[F.col("toxic")] if share else F.lit(1.0)
     chosen = marked.where(spot < rate).select("id", "toxic", (1 / rate).alias("weight"))
     rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")) \
+        .groupBy("id", "toxic", "weight").agg(F.min("text").alias("text")) \
         .select("id", "text", "toxic", "weight")  # the broadcast side has about 2 * sample rows
 
     def run(batches):
@@ -130,7 +136,7 @@ def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "tex
         for _, texts in text_chunks(batches):
             total += len(texts)
             for t in texts:
-                seen[lexicon.of(t)[0]] += 1
+                seen[lexicon.inside(t)] += 1
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, some), pa.int64()), pa.array(np.append(total, seen[some]), pa.int64())], ["term", "n"])
 
@@ -155,65 +161,56 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Inverted index over the examples: postings by term, the largest weight of each term and block, and the vectors."""
+    """Inverted index over the examples: postings of the rarer terms, rows of weights and blocks' largest weights of the frequent ones."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(vectors)
+        n = self.n = len(vectors)
         sizes = np.array([len(at) for at, _ in vectors], np.int64)
-        self.first = np.concatenate([[0], np.cumsum(sizes)])
-        self.at = np.concatenate([np.zeros(0, np.int32), *[at for at, _ in vectors]]).astype(np.int32)
-        self.w = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
-        order = np.argsort(self.at, kind="stable")
-        self.who, self.weight = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order], self.w[order]
-        term = self.at[order].astype(np.int64)
-        self.starts = np.searchsorted(term, np.arange(n_terms + 1))
-        blocks = max(1, -(-self.n // BLOCK))
-        head = np.flatnonzero(np.diff(term * blocks + self.who // BLOCK, prepend=-1))
-        self.highest = np.maximum.reduceat(self.weight, head) if len(head) else np.zeros(0)
-        self.block = self.who[head] // BLOCK
-        self.block_starts = np.searchsorted(term[head], np.arange(n_terms + 1))
-        self.query = np.zeros(n_terms)
-
-    def _left(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """What these terms can add to the cosine of an example at most."""
-        sizes = self.block_starts[at + 1] - self.block_starts[at]
-        here = _ranges(self.block_starts[at], sizes)
-        by_block = np.bincount(self.block[here], self.highest[here] * np.repeat(w, sizes), max(1, -(-self.n // BLOCK)))
-        return np.repeat(np.minimum(by_block, np.sqrt((w * w).sum())), BLOCK)[:self.n]
+        term = np.concatenate([np.zeros(0, np.int64), *[at for at, _ in vectors]]).astype(np.int64)
+        weight = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
+        who = np.repeat(np.arange(n), sizes)
+        often = np.bincount(term, minlength=n_terms)
+        frequent = np.argsort(-often, kind="stable")[:DENSE]
+        self.row = np.full(n_terms, -1, np.int64)
+        self.row[frequent] = np.arange(len(frequent))
+        dense = self.row[term] >= 0
+        rows = np.zeros((len(frequent), n))
+        rows[self.row[term[dense]], who[dense]] = weight[dense]
+        # examples in the order of their weights along the strongest direction: neighbours share their frequent terms
+        lead = np.ones(len(frequent))
+        for _ in range(20):
+            lead = rows @ (lead @ rows)
+            lead /= np.sqrt((lead * lead).sum()) or 1.0
+        self.ids = np.argsort(-(lead @ rows), kind="stable")
+        place = np.empty(n, np.int64)
+        place[self.ids] = np.arange(n)
+        self.place, self.rows = place, np.ascontiguousarray(rows[:, self.ids])
+        starts = np.arange(0, max(n, 1), BLOCK)
+        self.highest = np.maximum.reduceat(self.rows, starts, axis=1) if n else np.zeros((len(frequent), 1))
+        order = np.argsort(term[~dense], kind="stable")
+        self.who, self.weight = place[who[~dense]][order].astype(np.int32), weight[~dense][order]
+        self.starts = np.searchsorted(term[~dense][order], np.arange(n_terms + 1))
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a cosine over 0 (all of them if fewer), nearest first."""
-        heavy = np.argsort(-w, kind="stable")
-        at, w = at[heavy], w[heavy]
-        sizes = self.starts[at + 1] - self.starts[at]
-        upto = np.cumsum(sizes)
-        total = int(upto[-1]) if len(at) else 0
-        sims, done = np.zeros(self.n), 0
-        alive = np.ones(self.n, bool)
-        alive[skip:skip + 1 if skip >= 0 else 0] = False
-        for part in (8, 4, 2, 1):
-            stop = max(done, int(np.searchsorted(upto, total // part, "right")))
-            if stop > done:
-                some = sizes[done:stop]
-                here = _ranges(self.starts[at[done:stop]], some)
-                sims += np.bincount(self.who[here], self.weight[here] * np.repeat(w[done:stop], some), self.n)
-                done = stop
-            if done == len(at) or self.n <= k:
-                continue
-            least = np.partition(np.where(alive, sims, 0), self.n - k)[self.n - k]
-            may = np.flatnonzero(alive & (sims + self._left(at[done:], w[done:]) >= least - 1e-12))
-            own = self.first[may + 1] - self.first[may]
-            if own.sum() <= total - int(upto[done - 1] if done else 0):
-                here = _ranges(self.first[may], own)
-                self.query[at] = w
-                sums = np.bincount(np.repeat(np.arange(len(may)), own), self.w[here] * self.query[self.at[here]], len(may))
-                self.query[at] = 0
-                alive[:] = False
-                alive[may], sims[may] = True, sums
-                break
-        ids = np.flatnonzero(alive & (sims > 0))
-        ids = ids[np.lexsort((ids, -sims[ids]))[:k]]
-        return ids, sims[ids]
+        row = self.row[at]
+        rare = row < 0
+        some = self.starts[at[rare] + 1] - self.starts[at[rare]]
+        here = _ranges(self.starts[at[rare]], some)
+        sims = np.bincount(self.who[here], self.weight[here] * np.repeat(w[rare], some), self.n).astype(np.float64)
+        if skip >= 0:
+            sims[self.place[skip]] = -np.inf
+        row, own = row[~rare], w[~rare]
+        may = np.arange(self.n)
+        if len(row) and self.n:
+            if self.n > k:
+                least = np.partition(sims, self.n - k)[self.n - k]  # the rest can only add to it
+                may = np.flatnonzero(sims + np.repeat(own @ self.highest[row], BLOCK)[:self.n] >= least - 1e-12)
+            sims[may] += own @ self.rows[np.ix_(row, may)]
+        may = may[sims[may] > 0]
+        ids = self.ids[may]
+        best = np.lexsort((ids, -sims[may]))[:k]
+        return ids[best], sims[may[best]]
 
 
 def vote(ids, sims, toxic: np.ndarray, weight: np.ndarray) -> float:
@@ -238,7 +235,7 @@ def rising(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
 def learn(docs: DataFrame, labels: DataFrame, **options) -> dict:
     """A model (plain data, bounded) from labelled documents; options as of examples()."""
     text_col = options.get("text_col", "text")
-    found = examples(docs, labels, **options).dropDuplicates(["id"]).toArrow().combine_chunks().sort_by("id")
+    found = examples(docs, labels, **options).toArrow().combine_chunks().sort_by("id")
     toxic, weight = found["toxic"].to_numpy().astype(np.float64), found["weight"].to_numpy()
     rate = float((toxic * weight).sum() / weight.sum()) if len(toxic) else 0.0
     model = {"terms": [], "by": np.zeros(0), "ids": found["id"].to_numpy(), "toxic": toxic, "weight": weight, "vectors": [],
@@ -288,7 +285,10 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
     evidence = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches):
-        one = scorer(shared.value)
+        kept = shared.value  # a worker keeps its index beside the broadcast value between tasks
+        if "scorer" not in kept:
+            kept["scorer"] = scorer(kept)
+        one = kept["scorer"]
         for part, texts in text_chunks(batches):
             got = [one(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
