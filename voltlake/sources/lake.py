@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltlake.sources import evolve
+
 log = logging.getLogger(__name__)
 
 # --- table contracts -------------------------------------------
@@ -92,24 +94,24 @@ def supported_columns(df: DataFrame) -> DataFrame:
     to long, floats to double); others are skipped with a message."""
     keep = []
     for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, T.StringType):
+        t = evolve.lake_type(f.dataType)
+        if t is None or isinstance(t, T.NullType):
+            log.warning("column %s has a type the lake does not take; it is left out", f.name)
+        elif t == f.dataType:
             keep.append(F.col(f"`{f.name}`"))
-        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            keep.append(F.col(f"`{f.name}`").cast("long").alias(f.name))
-        elif isinstance(t, (T.FloatType, T.DoubleType)):
-            keep.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            keep.append(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name))
         else:
-            log.warning("column %s has a type the lake does not take; it is left out", f.name)
+            keep.append(F.col(f"`{f.name}`").cast(t).alias(f.name))
     return df.select(*keep)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` onto a fixed schema by name (missing -> typed null)."""
-    have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    """Project ``df`` onto a fixed schema by name (missing -> typed null). A
+    cast that would drop a part of a value is an error."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for f in schema.fields:
+        if f.name in have and evolve.loses(have[f.name], f.dataType):
+            raise TypeError(f"column {f.name}: {have[f.name].simpleString()} doesn't fit {f.dataType.simpleString()} without loss")
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in schema.fields])
 
 
@@ -117,35 +119,25 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 DAY = "day"
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Rows of a day together, but in as many tasks as their bytes need: adaptive execution splits a
+    day over ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and joins small ones."""
+    return df.hint("rebalance", DAY) if DAY in df.columns else df.hint("rebalance")
+
+
 def append_lake(df: DataFrame, table: str, schema: T.StructType | None = None,
                 location: str | None = None, ts: str = "datetime") -> None:
     """Append to ``table``, creating it first (with ``schema``, or
     the frame's supported columns) when missing. A frame with columns the
-    table lacks adds them (schema evolution), as a union by name would. A
-    table with a column ``ts`` is partitioned by its date, so that a daily
-    build reads the days it needs."""
-    spark = df.sparkSession
+    table lacks adds them, and one with wider types widens the table
+    (``evolve.append_widening``); nothing is narrowed. A table with a column
+    ``ts`` is partitioned by its date, so that a daily build reads the days it
+    needs; a day is written by as many tasks as its size asks for."""
     df = conform(df, schema) if schema is not None else supported_columns(df)
     dated = ts in df.columns
     if dated:
         df = df.withColumn(DAY, F.to_date(ts))
-    if not spark.catalog.tableExists(table):
-        w = df.limit(0).write.format("parquet")
-        if dated:
-            w = w.partitionBy(DAY)
-        if location:
-            w = w.option("path", location)
-        w.saveAsTable(table)
-    existing = {f.name: f for f in spark.table(table).schema.fields}
-    new = [f for f in df.schema.fields if f.name not in existing and f.name != DAY]
-    if new:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
-    target = spark.table(table).schema
-    out = conform(df, target)
-    if DAY in target.fieldNames():
-        out = out.repartition(DAY)  # one file a day and run, not one a day and task
-    out.write.mode("append").format("parquet").insertInto(table)
+    evolve.append_widening(df, table, DAY if dated else None, location, balanced)
 
 
 # --- S17-S23: mart loading --------------------------------------------------------
