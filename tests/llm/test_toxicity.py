@@ -23,13 +23,15 @@ def test_index_is_exact():
     for i, (at, w) in enumerate(vectors):
         dense[i, at] = w
     index = toxicity.Index(vectors, 40)
+    found = index.nearest(vectors, 9, skip=list(range(300)))
     for i in range(300):
-        ids, sims = index.nearest(*vectors[i], 9, skip=i)
+        ids, sims = found[i]
         all_sims = dense @ dense[i]
         all_sims[i] = 0
         order = [j for j in np.lexsort((np.arange(300), -np.round(all_sims, 9))) if all_sims[j] > 1e-12][:9]
         assert np.allclose(np.sort(sims)[::-1], all_sims[order])
-        assert len(ids) == len(order)
+        assert ids.tolist() == order
+        assert index.nearest([vectors[i]], 9, [i])[0][0].tolist() == order
 
 
 @pytest.mark.parametrize("dense", [0, 5, 20])

@@ -9,9 +9,9 @@ compared by exact cosine with its nearest examples, found in an inverted index.
 The postings of rarer terms are added up. The DENSE most frequent ones, whose
 postings are long and whose weights are small, have a row of weights each
 instead: what they can add is bounded for each block of BLOCK examples by the
-block's largest weights, and only examples that can still be among the nearest
-are finished with them. Examples are grouped by content, so that a block's
-largest weights say something about its members.
+block's largest weights, and only blocks that can still hold one of the nearest
+are finished with them, for TOGETHER texts at once. Examples are grouped by
+content, so that a block's largest weights say something about its members.
 Similarities weigh the examples' votes against one vote for clean, the votes
 are calibrated on the examples themselves (each without itself), and the
 nearest examples are the evidence.
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,10 @@ BLOCK = 64
 NEIGHBOURS = 15
 
 STEM = 6
+#: Words whose terms a task remembers.
+KEPT_WORDS = 500_000
+#: Texts that are compared with the examples at once.
+TOGETHER = 64
 #: Most frequent terms that are kept as rows of weights: 16 MB at 2 * EXAMPLES examples.
 DENSE = 512
 
@@ -66,28 +71,39 @@ def terms_of(text: str) -> Counter:
 
 
 class Lexicon:
-    """Numbers of the known terms of texts."""
+    """Numbers of the known terms of texts; those of a word are kept for the next text that has it."""
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
+        self.memo: dict[str, int] = {}
+
+    def _codes(self, words: Iterable[str]) -> np.ndarray:
+        """For each word the numbers of its two terms plus 1 (0: none), as one."""
+        memo, number = self.memo, self.number
+        if len(memo) > KEPT_WORDS:
+            memo.clear()
+        out = [memo.get(w) for w in words]
+        if None in out:
+            for i, w in enumerate(words):
+                if out[i] is None:
+                    stem = number.get(w[:STEM] + "*", -1) if len(w) >= STEM else -1
+                    out[i] = memo[w] = (number.get(w, -1) + 1 << 32) + stem + 1
+        return np.array(out, np.int64)
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Numbers, rising, and counts."""
-        number, flat, counts = self.number, [], []
-        for w, n in Counter(_WORD.findall(text.lower())).items():
-            for t in (w, w[:STEM] + "*") if len(w) >= STEM else (w,):
-                if (i := number.get(t)) is not None:
-                    flat.append(i)
-                    counts.append(n)
-        at, place = np.unique(np.array(flat, np.int64), return_inverse=True)
-        return at, np.bincount(place, counts, len(at))
-
-    def inside(self, text: str) -> list[int]:
-        """Numbers of the terms that a text has, in any order."""
-        number = self.number
-        words = set(_WORD.findall(text.lower()))
-        words |= {w[:STEM] + "*" for w in words if len(w) >= STEM}
-        return [number[t] for t in words if t in number]
+        counts = Counter(_WORD.findall(text.lower()))
+        codes, n = self._codes(counts), np.fromiter(counts.values(), np.float64, len(counts))
+        flat = np.concatenate([codes >> 32, codes & 0xFFFFFFFF])
+        at, place = np.unique(flat, return_inverse=True)
+        n = np.bincount(place, np.concatenate([n, n]), len(at))
+        return at[at > 0] - 1, n[at > 0]
+
+    def inside(self, text: str) -> np.ndarray:
+        """Numbers of the terms that a text has, rising."""
+        codes = self._codes(set(_WORD.findall(text.lower())))
+        at = np.unique(np.concatenate([codes >> 32, codes & 0xFFFFFFFF]))
+        return at[at > 0] - 1
 
 
 def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
@@ -185,32 +201,43 @@ class Index:
         place = np.empty(n, np.int64)
         place[self.ids] = np.arange(n)
         self.place, self.rows = place, np.ascontiguousarray(rows[:, self.ids])
-        starts = np.arange(0, max(n, 1), BLOCK)
-        self.highest = np.maximum.reduceat(self.rows, starts, axis=1) if n else np.zeros((len(frequent), 1))
+        self.blocks = np.arange(0, max(n, 1), BLOCK)
+        self.highest = np.maximum.reduceat(self.rows, self.blocks, axis=1) if n else np.zeros((len(frequent), 1))
         order = np.argsort(term[~dense], kind="stable")
         self.who, self.weight = place[who[~dense]][order].astype(np.int32), weight[~dense][order]
         self.starts = np.searchsorted(term[~dense][order], np.arange(n_terms + 1))
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k nearest examples with a cosine over 0 (all of them if fewer), nearest first."""
-        row = self.row[at]
-        rare = row < 0
-        some = self.starts[at[rare] + 1] - self.starts[at[rare]]
-        here = _ranges(self.starts[at[rare]], some)
-        sims = np.bincount(self.who[here], self.weight[here] * np.repeat(w[rare], some), self.n).astype(np.float64)
-        if skip >= 0:
-            sims[self.place[skip]] = -np.inf
-        row, own = row[~rare], w[~rare]
-        may = np.arange(self.n)
-        if len(row) and self.n:
-            if self.n > k:
-                least = np.partition(sims, self.n - k)[self.n - k]  # the rest can only add to it
-                may = np.flatnonzero(sims + np.repeat(own @ self.highest[row], BLOCK)[:self.n] >= least - 1e-12)
-            sims[may] += own @ self.rows[np.ix_(row, may)]
-        may = may[sims[may] > 0]
-        ids = self.ids[may]
-        best = np.lexsort((ids, -sims[may]))[:k]
-        return ids[best], sims[may[best]]
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the numbers and cosines of the k nearest examples with a cosine over 0 (all of them if fewer), nearest
+        first; ``skip``: an example that each leaves out. Cosines that differ by rounding alone are equal: ties go to the smaller number."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
+        sims, frequent = np.zeros((len(texts), self.n)), np.zeros((len(texts), len(self.rows)))
+        for i, (at, w) in enumerate(texts):
+            row = self.row[at]
+            rare = row < 0
+            frequent[i, row[~rare]] = w[~rare]
+            some = self.starts[at[rare] + 1] - self.starts[at[rare]]
+            here = _ranges(self.starts[at[rare]], some)
+            if len(here):
+                sims[i] = np.bincount(self.who[here], self.weight[here] * np.repeat(w[rare], some), self.n)
+            if skip is not None:
+                sims[i, self.place[skip[i]]] = -np.inf
+        # what is added now can only raise a cosine, and by the blocks' largest weights at most
+        least = np.partition(sims, self.n - k, axis=1)[:, self.n - k] if self.n > k else np.full(len(texts), -np.inf)
+        most = np.maximum.reduceat(sims, self.blocks, axis=1) + frequent @ self.highest
+        for b, a in enumerate(self.blocks.tolist()):
+            may = most[:, b] >= least - 1e-12
+            sims[~may, a:a + BLOCK] = -np.inf
+            sims[may, a:a + BLOCK] += frequent[may] @ self.rows[:, a:a + BLOCK]
+        out = []
+        for own in np.round(sims, 12):
+            near = np.flatnonzero(own > 0)
+            if len(near) > k:
+                near = near[own[near] >= np.partition(own[near], len(near) - k)[len(near) - k]]
+            near = near[np.lexsort((self.ids[near], -own[near]))[:k]]
+            out.append((self.ids[near], own[near]))
+        return out
 
 
 def vote(ids, sims, toxic: np.ndarray, weight: np.ndarray) -> float:
@@ -258,25 +285,28 @@ def learn(docs: DataFrame, labels: DataFrame, **options) -> dict:
         order = np.argsort(term[a:b])
         vectors.append(vector(term[a:b][order], counts[a:b][order], by))
     index = Index(vectors, len(terms))
-    raw = np.array([vote(*index.nearest(*v, NEIGHBOURS, skip=i), toxic, weight) for i, v in enumerate(vectors)])
+    raw = np.array([vote(*near, toxic, weight) for a in range(0, len(vectors), TOGETHER) for near in index.nearest(
+        vectors[a:a + TOGETHER], NEIGHBOURS, list(range(a, min(a + TOGETHER, len(vectors)))))])
     x, y = rising(raw, toxic, weight)
     return model | {"terms": terms, "by": by, "vectors": vectors, "x": x, "y": y}
 
 
 def scorer(model: dict):
-    """A function from a text to its score and evidence [(id, similarity, toxic)]."""
+    """A function from texts to their scores and evidence [(id, similarity, toxic)]."""
     toxic, weight, by = model["toxic"], model["weight"], model["by"]
     if not model["terms"]:
-        return lambda text: (model["rate"], [])
+        return lambda texts: [(model["rate"], [])] * len(texts)
     index, lexicon = Index(model["vectors"], len(by)), Lexicon(model["terms"])
 
-    def one(text: str) -> tuple[float, list]:
-        ids, sims = index.nearest(*vector(*lexicon.of(text), by), NEIGHBOURS)
-        raw = vote(ids, sims, toxic, weight)
-        fit = float(np.interp(raw, model["x"], model["y"]))
-        top = [(int(model["ids"][i]), float(s), int(toxic[i])) for i, s in zip(ids[:3], sims[:3], strict=True)]
-        return 0.9 * fit + 0.1 * raw, top  # a little of the raw vote keeps order within a level
-    return one
+    def some(texts: list[str]) -> list[tuple[float, list]]:
+        out = []
+        for ids, sims in index.nearest([vector(*lexicon.of(t), by) for t in texts], NEIGHBOURS):
+            raw = vote(ids, sims, toxic, weight)
+            fit = float(np.interp(raw, model["x"], model["y"]))
+            top = [(int(model["ids"][i]), float(s), int(toxic[i])) for i, s in zip(ids[:3], sims[:3], strict=True)]
+            out.append((0.9 * fit + 0.1 * raw, top))  # a little of the raw vote keeps order within a level
+        return out
+    return lambda texts: [one for a in range(0, len(texts), TOGETHER) for one in some(texts[a:a + TOGETHER])]
 
 
 def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,9 +318,8 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
         kept = shared.value  # a worker keeps its index beside the broadcast value between tasks
         if "scorer" not in kept:
             kept["scorer"] = scorer(kept)
-        one = kept["scorer"]
         for part, texts in text_chunks(batches):
-            got = [one(t) for t in texts]
+            got = kept["scorer"](texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([s for s, _ in got], pa.float64()),
                  pa.array([[{"id": i, "similarity": c, "toxic": t} for i, c, t in e] for _, e in got], evidence)],
