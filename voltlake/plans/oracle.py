@@ -510,3 +510,25 @@ WHERE bzn = (SELECT min(bzn) FROM fact) AND datetime <= (SELECT min(datetime) +
   AND consumption_quantity > 0"""
 ORACLE["green_share_last_hour"] = with_fact(green_share_sql()) + """
 SELECT * FROM green_share_out WHERE hourly_datetime = (SELECT date_trunc('hour', max(datetime)) FROM fact)"""
+
+# --- tables kept up to date ---------------------------------------------------------
+
+ORACLE["weather_appended_widening"] = """
+SELECT event_id, ts AS datetime,
+       CASE event_id % 3 WHEN 1 THEN value ELSE trunc(value) END AS humidity,
+       CASE event_id % 3 WHEN 2 THEN event_type ELSE CAST(CAST(trunc(value / 4) AS BIGINT) AS VARCHAR) END AS wind,
+       CASE event_id % 3 WHEN 2 THEN 'st_' || user_id END AS station
+FROM events"""
+ORACLE["user_event_ids"] = """
+SELECT user_id, ts, row_number() OVER (ORDER BY user_id, ts) AS _id FROM (SELECT DISTINCT user_id, ts FROM events)"""
+ORACLE["price_filled_long"] = with_feeds() + """
+SELECT eic_code, ts, ingest_order AS event_id,
+       last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS price,
+       last_value(CASE WHEN event_type = 'signup' THEN event_type END IGNORE NULLS) OVER w AS mark
+FROM pts WINDOW w AS (PARTITION BY eic_code ORDER BY ts, ingest_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+ORACLE["fact_updated_by_change"] = ORACLE["measurements_fact"]
+# deliveries: on time in the first half of the month, in the second, and the rest whatever its age; the first one of a point wins
+ORACLE["stream_late_price"] = with_feeds() + """
+SELECT eic_code, datetime, price, currency_unit, price_measure_unit FROM price_data
+QUALIFY row_number() OVER (PARTITION BY eic_code, datetime
+  ORDER BY CASE WHEN ingest_order % 5 = 0 THEN 2 WHEN day(datetime) <= 15 THEN 0 ELSE 1 END, ingest_order) = 1"""
