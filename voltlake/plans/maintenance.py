@@ -1,19 +1,27 @@
 """Registered queries of tables that are kept up to date: widening appends,
-numbering and filling over ranges, the fact by change, streams with late rows.
+numbering and filling over ranges, the fact by change, streams with late rows,
+checked loads, gaps in what was delivered, documents by name, bucketed marts.
 All start from ``events``; what they write lies under the shared checkpoint
 folder or in the warehouse.
 """
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
-from voltlake.operators import ranges
-from voltlake.plans import incremental
+from voltlake.constants import ZONES
+from voltlake.operators import coverage, ranges
+from voltlake.operators.manifest import data_run_window, request_manifest
+from voltlake.plans import fact as fact_plan
+from voltlake.plans import incremental, marts
 from voltlake.plans.catalogue import register
+from voltlake.plans.clean import clean_weather
 from voltlake.plans.lifecycle import _table, scratch
+from voltlake.sources import checked, lake, landing, named
 from voltlake.sources import fixtures as fx
-from voltlake.sources import lake
+from voltlake.sources.weather_json import parse_weather
 from voltlake.streaming.late import ingest_late
 
 
@@ -70,3 +78,62 @@ def q_stream_late(spark, sf_dir):
         lake.conform(part, lake.PRICE_SCHEMA).write.parquet(f"{folder}/run{i}")
         ingest_late(spark, folder, lake.PRICE_SCHEMA, table, ["eic_code"], checkpoint=ckpt, location=place).awaitTermination()
     return spark.table(table).select("eic_code", "datetime", "price", "currency_unit", "price_measure_unit")
+
+
+def _loads(spark, sf_dir) -> checked.CheckedTable:
+    """S24 with enforced keys: a load of the first half of the month, a bad one (rows as they came, every seventh without a zone),
+    the second half, and the first once more."""
+    e = fx.read_events(spark, sf_dir)
+    first = F.dayofmonth("datetime") <= 15
+    raw = fx.consumption_data(e)
+    good = fact_plan.consumption_keyed(raw).select("eic_code", "datetime", F.col("consumption_quantity").alias("quantity"))
+    bad = raw.select(F.when(F.col("ingest_order") % 7 != 0, F.col("eic_code")).alias("eic_code"), "datetime", "quantity").where(first)
+    t = checked.create_checked(spark, _table("checked_load"), "eic_code STRING NOT NULL, datetime TIMESTAMP_NTZ NOT NULL, quantity DOUBLE",
+                               ["eic_code", "datetime"], scratch(spark, "checked"))
+    for name, rows in (("1", good.where(first)), ("2", bad), ("3", good.where(~first)), ("4", good.where(first))):
+        with contextlib.suppress(checked.Refused):
+            checked.load(t, rows, name)
+    return t
+
+
+@register("checked_load_verdicts")
+def q_verdicts(spark, sf_dir):
+    """Q1-Q3 at write: what each load broke."""
+    return spark.table(_loads(spark, sf_dir).verdicts).select("load", "check", "column", "violations", F.col("accepted").cast("int").alias("accepted"))
+
+
+@register("checked_load_rows")
+def q_checked_rows(spark, sf_dir):
+    """The rows of accepted loads alone."""
+    return spark.table(_loads(spark, sf_dir).name)
+
+
+@register("price_request_gaps")
+def q_request_gaps(spark, sf_dir):
+    """What is missing of the weekly price requests, where some documents never came, some were refused and some hold half a day."""
+    e = fx.read_events(spark, sf_dir)
+    stamp = lambda c: F.to_timestamp_ntz(c, F.lit("yyyyMMddHHmm"))
+    requested = request_manifest(data_run_window(e), days=7).where("feed = 'price'") \
+        .select(F.col("zone_value").alias("eic_code"), stamp(F.col("period_start")).alias("start"), stamp(F.col("period_end")).alias("end"))
+    day = F.dayofmonth("period_start")
+    docs = landing.price_documents(e).withColumn("status", F.when(day % 7 == 2, 503).otherwise(200)).where(day % 5 != 1)
+    half = F.when(day % 3 == 0, F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 24 HOURS"))
+    landed = docs.where("status = 200").select("eic_code", F.col("period_start").alias("start"), (F.col("period_start") + half).alias("end"))
+    return coverage.gaps(requested, landed, ["eic_code"])
+
+
+@register("weather_from_named_files")
+def q_named(spark, sf_dir):
+    """The northern zones' documents of one week, chosen by file names."""
+    folder = scratch(spark, "named")
+    named.write_named(landing.weather_documents(fx.weather_data(fx.read_events(spark, sf_dir))), folder)
+    north = [z[2] for z in ZONES if z[2].startswith(("NO", "SE"))]
+    docs = named.read_named(spark, folder, zones=north, start="2024-01-08", end="2024-01-14", whole=False)
+    return clean_weather(parse_weather(docs)).drop("ingest_order")
+
+
+@register("fact_from_bucketed_marts")
+def q_fact_bucketed(spark, sf_dir):
+    """The fact from marts bucketed by the joins' keys."""
+    f = fx.feeds(spark, sf_dir)
+    return marts.fact_from_marts(spark, marts.write_marts(f, _table("mart"), location=scratch(spark, "marts")))

@@ -532,3 +532,42 @@ ORACLE["stream_late_price"] = with_feeds() + """
 SELECT eic_code, datetime, price, currency_unit, price_measure_unit FROM price_data
 QUALIFY row_number() OVER (PARTITION BY eic_code, datetime
   ORDER BY CASE WHEN ingest_order % 5 = 0 THEN 2 WHEN day(datetime) <= 15 THEN 0 ELSE 1 END, ingest_order) = 1"""
+
+_GOOD = "SELECT eic_code, datetime, consumption_quantity AS quantity FROM cons"
+_BAD = """bad AS (
+  SELECT CASE WHEN ingest_order % 7 <> 0 THEN eic_code END AS eic_code, datetime FROM consumption_data WHERE day(datetime) <= 15)"""
+ORACLE["checked_load_rows"] = with_fact() + "\n" + _GOOD
+ORACLE["checked_load_verdicts"] = with_fact() + f""",
+{_BAD},
+good AS ({_GOOD}),
+there AS (SELECT * FROM good WHERE day(datetime) <= 15),
+n AS (
+  SELECT '2' AS load, 'key' AS "check", 'eic_code,datetime' AS "column",
+         (SELECT count(*) - count(DISTINCT (eic_code, datetime)) FROM bad ANTI JOIN there USING (eic_code, datetime)
+          WHERE eic_code IS NOT NULL) AS violations
+  UNION ALL
+  SELECT '2', 'key is there', 'eic_code,datetime', (SELECT count(*) FROM bad SEMI JOIN there USING (eic_code, datetime))
+  UNION ALL
+  SELECT '2', 'not null', 'eic_code', (SELECT count(*) FROM bad WHERE eic_code IS NULL)
+  UNION ALL
+  SELECT '4', 'key is there', 'eic_code,datetime', (SELECT count(*) FROM there))
+SELECT l AS load, c."check", c."column", coalesce(n.violations, 0) AS violations, CAST(l IN ('1', '3') AS INTEGER) AS accepted
+FROM (VALUES ('1'), ('2'), ('3'), ('4')) loads(l)
+CROSS JOIN (VALUES ('key', 'eic_code,datetime'), ('key is there', 'eic_code,datetime'), ('not null', 'eic_code'), ('not null', 'datetime')) c("check", "column")
+LEFT JOIN n ON n.load = l AND n."check" = c."check" AND n."column" = c."column\""""
+# half days that were asked for and didn't come, joined where they touch
+ORACLE["price_request_gaps"] = with_feeds() + f""",
+run AS (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events),
+half AS (
+  SELECT z.eic AS eic_code, h FROM (SELECT unnest({EICS}) AS eic) z,
+         (SELECT unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP) - INTERVAL 12 HOUR, INTERVAL 12 HOUR)) AS h FROM run)),
+came AS (
+  SELECT DISTINCT eic_code, period_start, unnest(CASE day(period_start) % 3 WHEN 0 THEN [0] ELSE [0, 12] END) AS hh
+  FROM pts WHERE event_type = 'purchase' AND day(period_start) % 5 <> 1 AND day(period_start) % 7 <> 2),
+free AS (SELECT half.* FROM half ANTI JOIN (SELECT eic_code, period_start + to_hours(hh) AS h FROM came) c ON c.eic_code = half.eic_code AND c.h = half.h),
+island AS (SELECT *, h - to_hours(12 * row_number() OVER (PARTITION BY eic_code ORDER BY h)) AS g FROM free)
+SELECT eic_code, min(h) AS start, max(h) + INTERVAL 12 HOUR AS "end" FROM island GROUP BY eic_code, g"""
+ORACLE["weather_from_named_files"] = with_feeds() + """
+SELECT * EXCLUDE (ingest_order) FROM weather_cleaned
+WHERE (bzn LIKE 'NO%' OR bzn LIKE 'SE%') AND CAST(date_time AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""
+ORACLE["fact_from_bucketed_marts"] = ORACLE["measurements_fact"]
