@@ -244,7 +244,7 @@ def q_timestamp_holidays(spark, sf_dir):
 
 @register("energy_type_dim_in_two_runs")
 def q_energy_two_runs(spark, sf_dir):
-    """J4 + A10: built from the first tenth of the feed, then the rest inserted."""
+    """J4 + A10: built from the feed without two of its types, then those inserted."""
     feed = fx.production_data(fx.read_events(spark, sf_dir))
     rare = feed.where(~F.col("produced_energy_type").isin("Solar", "Nuclear"))
     first = dims.build_energy_dim(rare)

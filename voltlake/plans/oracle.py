@@ -571,3 +571,17 @@ ORACLE["weather_from_named_files"] = with_feeds() + """
 SELECT * EXCLUDE (ingest_order) FROM weather_cleaned
 WHERE (bzn LIKE 'NO%' OR bzn LIKE 'SE%') AND CAST(date_time AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""
 ORACLE["fact_from_bucketed_marts"] = ORACLE["measurements_fact"]
+ORACLE["green_share_from_partials"] = ORACLE["green_share_zone_hour"]
+ORACLE["green_share_country_from_partials"] = ORACLE["green_share_country_hour"]
+ORACLE["map_features"] = f"""
+WITH map AS ({ORACLE["green_share_country_hour"]}),
+hours AS (SELECT country, count(*) AS n_hours, max(green_proportion) AS most_green FROM map GROUP BY country),
+n AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS k, coalesce({sql_list(_COUNTRY_NAMES)}[n_nationkey + 1], n_name) AS name FROM nation),
+s AS (
+  SELECT *, CASE k % 4 WHEN 1 THEN 2 ELSE 1 END AS p, CASE k % 3 WHEN 0 THEN 1 ELSE 0 END AS h, CASE k % 6 WHEN 5 THEN 0 ELSE 1 END AS c FROM n)
+SELECT name, CASE p WHEN 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind, p AS n_polygons, p + h AS n_rings,
+       4 + c + 5 * (p - 1) + 4 * h AS n_positions, c AS closed,
+       CAST(k * 7 - 90 AS DOUBLE) AS west, CAST(k * 3 - 30 AS DOUBLE) AS south, CAST(k * 7 - 86 + 5 * (p - 1) AS DOUBLE) AS east,
+       CAST(k * 3 - 28 AS DOUBLE) AS north, 8.0 * p - 0.25 * h AS area, coalesce(n_hours, 0) AS n_hours, coalesce(most_green, 0.0) AS most_green
+FROM s LEFT JOIN hours ON hours.country = s.name"""

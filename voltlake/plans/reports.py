@@ -138,18 +138,26 @@ def green_share(fact: DataFrame, hour=None, parity: bool = False,
     ``hour`` given: only that hour (F4 range predicate), as the dashboard map.
     ``hour`` None: every hour bucket, grouped by (bzn, hourly_datetime).
     """
-    prods = production_columns(fact)
-    green, other = split_green(prods, parity)
-    hour_col = T.trunc_hour("datetime")
     df = fact
     if hour is not None:
         df = _day_filter(df.filter(T.hour_range("datetime", hour)), "=", hour)
-    g = df.groupBy("bzn", hour_col.alias("hourly_datetime")).agg(
+    return shares(green_sums(df, parity), decimals)
+
+
+def green_sums(fact: DataFrame, parity: bool = False) -> DataFrame:
+    """The sums B6 is made of, per zone and hour."""
+    prods = production_columns(fact)
+    green, other = split_green(prods, parity)
+    return fact.groupBy("bzn", T.trunc_hour("datetime").alias("hourly_datetime")).agg(
         F.sum(_plus(green)).alias("green_energy"),
         F.sum(_plus(other)).alias("non_green_energy"),
         F.sum(_plus(prods)).alias("total_energy"),
     )
-    return g.select(
+
+
+def shares(sums: DataFrame, decimals: int | None = None) -> DataFrame:
+    """B6 from its sums."""
+    return sums.select(
         "bzn", "hourly_datetime",
         _round(F.col("green_energy"), decimals).alias("green_energy"),
         _round(F.col("non_green_energy"), decimals).alias("non_green_energy"),
@@ -173,8 +181,12 @@ def green_share_country(fact: DataFrame, hour=None, parity: bool = False,
     17-entry country list (with repeats) left-joined to the zone rows, one
     row per match, missing -> 0 (T4).
     """
-    share = green_share(fact, hour, parity).select(
-        "hourly_datetime", bzn_country("bzn").alias("country"), "green_proportion")
+    return country_map(green_share(fact, hour, parity), decimals, fanout)
+
+
+def country_map(zone_shares: DataFrame, decimals: int | None = None, fanout: bool = False) -> DataFrame:
+    """B7 from the zones' shares."""
+    share = zone_shares.select("hourly_datetime", bzn_country("bzn").alias("country"), "green_proportion")
     # one row per hour with the countries' values as an array of at most one entry per zone, and from it the
     # fixed country list: the hours and their values come from one aggregation, without a self-join
     if fanout:
