@@ -76,6 +76,7 @@ class Lexicon:
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
         self.memo: dict[str, int] = {}
+        self.place, self.total = np.zeros(len(terms), np.int64), np.zeros(len(terms))
 
     def _codes(self, words: Iterable[str]) -> np.ndarray:
         """For each word the numbers of its two terms plus 1 (0: none), as one."""
@@ -90,20 +91,30 @@ class Lexicon:
                     out[i] = memo[w] = (number.get(w, -1) + 1 << 32) + stem + 1
         return np.array(out, np.int64)
 
+    def _once(self, at: np.ndarray) -> np.ndarray:
+        """Which entries of ``at`` to keep so that every number is there once."""
+        here = np.arange(len(at))
+        self.place[at] = here
+        return self.place[at] == here
+
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers, rising, and counts."""
+        """Numbers, each once, and counts."""
         counts = Counter(_WORD.findall(text.lower()))
         codes, n = self._codes(counts), np.fromiter(counts.values(), np.float64, len(counts))
-        flat = np.concatenate([codes >> 32, codes & 0xFFFFFFFF])
-        at, place = np.unique(flat, return_inverse=True)
-        n = np.bincount(place, np.concatenate([n, n]), len(at))
-        return at[at > 0] - 1, n[at > 0]
+        word, stem = codes >> 32, codes & 0xFFFFFFFF
+        at, n = np.concatenate([word[word > 0], stem[stem > 0]]) - 1, np.concatenate([n[word > 0], n[stem > 0]])
+        np.add.at(self.total, at, n)
+        at = at[self._once(at)]
+        n = self.total[at]
+        self.total[at] = 0
+        return at, n
 
     def inside(self, text: str) -> np.ndarray:
-        """Numbers of the terms that a text has, rising."""
+        """Numbers of the terms that a text has, each once."""
         codes = self._codes(set(_WORD.findall(text.lower())))
-        at = np.unique(np.concatenate([codes >> 32, codes & 0xFFFFFFFF]))
-        return at[at > 0] - 1
+        word, stem = codes >> 32, codes & 0xFFFFFFFF
+        at = np.concatenate([word[word > 0], stem[stem > 0]]) - 1
+        return at[self._once(at)]
 
 
 def examples(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
