@@ -7,6 +7,7 @@ count as empty ones.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -15,9 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handed to Python at once; texts in them are cut into chunks of CHUNK_BYTES.
+#: Rows and bytes handed to Python at once; texts in them are cut into chunks of CHUNK_BYTES.
 ARROW_ROWS = 1000
-CHUNK_BYTES = 2 << 20
+ARROW_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +43,12 @@ def rows_again(df: DataFrame, row: str, columns: list[str], changed: dict[str, C
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Hand smaller batches to Python than the default, unless the session asks for fewer rows still."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Hand smaller batches to Python than the defaults, unless the session asks for smaller ones still. Both are settings of
+    the session that hold when a plan runs, so they stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key, None) or "0")
+        if now and not 0 < int(now.group(1)) <= most:
+            spark.conf.set(key, str(most))
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
