@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pytest
 
 from tests_llm_data import SF, edge_documents, edge_rows
@@ -49,3 +50,34 @@ def test_nothing_or_one_language_to_learn(spark):
 def test_families():
     assert langid.family("de") == langid.family("EN-us") == "germanic" and langid.family("pt_BR") == "romance"
     assert langid.family("xx") != langid.family("yy")
+
+
+def test_related_languages_vote():
+    """Three languages of one family: a machine for each pair, counted by hand."""
+    rng = np.random.default_rng(3)
+    sounds = {"da": ["og", "det", "ikke", "blod", "aften"], "nb": ["og", "det", "ikke", "blod", "kveld"], "sv": ["och", "det", "inte", "blod", "kvall"], "fr": ["et", "les", "pas", "sang", "soir"]}
+    rows = [(" ".join(rng.choice(w, 30)), a) for a, w in sounds.items() for _ in range(25)]
+    x = np.stack([langid.features(t, langid._blanked()) for t, _ in rows])
+    model = langid.fit(x, [a for _, a in rows])
+    assert model["names"] == ["da", "fr", "nb", "sv"] and model["pairs"] == [(0, 2), (0, 3), (2, 3)]
+    one, right = langid.scorer(model), 0
+    for text in [" ".join(rng.choice(w, 12)) for w in sounds.values() for _ in range(10)] + ["det blod", "aften kvall kveld"]:
+        m = langid.features(text, langid._blanked()) @ model["weights"] + model["biases"]
+        families = 1 / (1 + np.exp(-langid.STEEP * m[:2].astype(float)))
+        inside = [0, 2, 3] if families[0] >= families[1] else [1]
+        votes = {k: [0, 0.0] for k in inside}
+        for (i, j), v in zip(model["pairs"], m[2:], strict=True):
+            for k, own in ((i, float(v)), (j, -float(v))):
+                if k in votes:
+                    votes[k][0] += own > 0
+                    votes[k][1] += own
+        best = max(inside, key=lambda k: votes[k])
+        assert one(text)[0] == model["names"][best] and 0 <= one(text)[1] <= 1
+    for a, w in sounds.items():
+        right += sum(one(" ".join(rng.choice(w, 20)))[0] == a for _ in range(10))
+    assert right >= 36
+
+
+def test_ballot_ties():
+    assert langid.ballot([0, 1, 2], [(0, 1), (0, 2), (1, 2)], np.array([1.0, -2.0, 0.5]))[0] == 2  # one vote each; their margins add up to -1, -0.5 and 1.5
+    assert langid.ballot([0, 1], [(0, 1)], np.array([0.0])) == (0, 0.5) and langid.ballot([3], [(0, 1)], np.array([1.0])) == (3, 1.0)

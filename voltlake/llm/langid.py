@@ -1,5 +1,7 @@
 """Language identification in two steps: the language family first, then
-one-versus-rest linear support vector machines among the family's languages.
+one-versus-one linear support vector machines among the family's languages: a
+machine for each pair, the language with most votes wins, and equal votes are
+told apart by the sum of margins.
 
 Features are hashed two- and three-byte sequences of the lower-cased text with
 every ASCII non-letter as a blank, as square roots of their shares, over the
@@ -96,7 +98,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, keep: float = 1e-4, rounds: int = 200)
 
 
 def fit(x: np.ndarray, langs: list[str]) -> dict:
-    """A model: languages, their families, and a column of weights for each family and each language."""
+    """A model: languages, their families, and a column of weights for each family and each pair of languages in one."""
     names = sorted(set(langs))
     groups = sorted({family(a) for a in names})
     own = np.array(langs)
@@ -106,15 +108,13 @@ def fit(x: np.ndarray, langs: list[str]) -> dict:
         w, b = fit_svm(x, np.where(kin == g, 1.0, -1.0)) if len(groups) > 1 else (np.zeros(x.shape[1], np.float32), 1.0)
         columns.append(w)
         biases.append(b)
-    for a in names:
-        among = kin == family(a)
-        if (own[among] == a).all():
-            w, b = np.zeros(x.shape[1], np.float32), 1.0
-        else:
-            w, b = fit_svm(x[among], np.where(own[among] == a, 1.0, -1.0))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names)) if family(names[i]) == family(names[j])]
+    for i, j in pairs:
+        among = (own == names[i]) | (own == names[j])
+        w, b = fit_svm(x[among], np.where(own[among] == names[i], 1.0, -1.0))
         columns.append(w)
         biases.append(b)
-    return {"names": names, "groups": groups, "of": [groups.index(family(a)) for a in names],
+    return {"names": names, "groups": groups, "of": [groups.index(family(a)) for a in names], "pairs": pairs,
             "weights": np.stack(columns, 1) if columns else np.zeros((2 * WIDTH, 0), np.float32),
             "biases": np.array(biases, np.float32)}
 
@@ -150,21 +150,36 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return fit(x, [a for a, _ in got])
 
 
+def ballot(inside: list[int], pairs: list[tuple[int, int]], margins: np.ndarray) -> tuple[int, float]:
+    """The language of a family that wins its pairs, and its share of their chances; margins: for each pair, over 0 for its first."""
+    votes, total, chance = dict.fromkeys(inside, 0), dict.fromkeys(inside, 0.0), dict.fromkeys(inside, 0.0)
+    n = 0
+    for (i, j), m in zip(pairs, margins.tolist(), strict=True):
+        if i in votes:
+            votes[i if m >= 0 else j] += 1
+            total[i], total[j] = total[i] + m, total[j] - m
+            for k, own in ((i, m), (j, -m)):
+                chance[k] += 1 / (1 + np.exp(-STEEP * own))
+            n += 1
+    best = max(inside, key=lambda k: (votes[k], total[k], -k))
+    return best, chance[best] / n if n else 1.0
+
+
 def scorer(model: dict) -> Callable[[str], tuple[str, float]]:
     """A function from a text to its language and score."""
     blanked, weights, biases = _blanked(), model["weights"], model["biases"]
-    n, names, of = len(model["groups"]), model["names"], np.array(model["of"], np.int64)
+    n, names, pairs = len(model["groups"]), model["names"], model["pairs"]
+    kin = [[i for i, of in enumerate(model["of"]) if of == g] for g in range(n)]
     letter = re.compile(r"[^\W\d_]").search
 
     def one(text: str) -> tuple[str, float]:
         if not names or not letter(text):
             return "und", 0.0
-        chance = 1 / (1 + np.exp(-STEEP * (features(text, blanked) @ weights + biases).astype(np.float64)))
-        g = int(np.argmax(chance[:n]))
-        inside = np.flatnonzero(of == g)
-        own = chance[n:][inside]
-        k = int(np.argmax(own))
-        return names[inside[k]], float(chance[g] / chance[:n].sum() * own[k] / own.sum())
+        margins = (features(text, blanked) @ weights + biases).astype(np.float64)
+        chance = 1 / (1 + np.exp(-STEEP * margins[:n]))
+        g = int(np.argmax(chance))
+        k, share = ballot(kin[g], pairs, margins[n:])
+        return names[k], float(chance[g] / chance.sum() * share)
     return one
 
 
