@@ -101,3 +101,10 @@ def test_edges(spark, model):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert texts[1] is None and texts[5] == "house" and texts[15].endswith("<phone> <email>")
     assert pii.detect(df.limit(0), model).count() == 0
+
+
+def test_written_addresses_need_separators():
+    for good in ("jane.doe at mail.example.org", "jane (at) mail (dot) org", "jane[at]mail[dot]org", "jane at mail dot org"):
+        assert pii.plausible("email", good)
+    for bad in ("thaterntoring. At", "ingeathonlyti. At", "thaterntoring.at", "we met at noon", "at home. Then"):
+        assert not pii.plausible("email", bad)

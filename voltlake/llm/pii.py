@@ -324,7 +324,8 @@ class Field:
 
 
 _TRIM = " ,.;:!?\"'<>|"
-_WRITTEN = re.compile(r"[\w.%+-]+ ?(?:\(at\)|\[at\]|at) ?[\w-]+(?: ?(?:\(dot\)|\[dot\]|dot|\.) ?[\w-]+)+", re.I)
+#: A bare "at" or "dot" stands between blanks; inside a word it is a part of it, and a full stop between blanks ends a sentence.
+_WRITTEN = re.compile(r"[\w.%+-]+(?: ?(?:\(at\)|\[at\]) ?| at )[\w-]+(?:(?: ?(?:\(dot\)|\[dot\]) ?| dot |\.)[\w-]+)+", re.I)
 
 
 def plausible(kind: str, s: str) -> bool:
