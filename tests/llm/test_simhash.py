@@ -87,3 +87,9 @@ def test_edges(spark):
     assert one.where("`a.b` <> 'extra a.b'").count() == 0
     empty = df.limit(0)
     assert simhash.near_copies(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_groups(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(30)), " ".join(f"beta{i}" for i in range(30))
+    df = spark.createDataFrame([(5, a), (5, b), (7, b), (9, a), (5, a)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.one_of_each(df, words=3).collect()) == [(5, a), (5, b)]

@@ -224,10 +224,14 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 2) -> DataFrame:
-    """The rows of df with one row of each group of near copies: that with the least id, whole rows compared
-    among equal ids. All columns as they are; rows with a null id stay."""
-    groups = near_copies(df, id_col, text_col, words, bits)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), whole_rows(df).alias("row"))
-    kept = rows.join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
+    """The rows of df with one row of each group of near copies: that with the least id, whole rows compared among equal
+    ids. Rows that share an id but not a group are kept apart. All columns as they are; rows with a null id stay."""
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), whole_rows(df).alias("row")) \
+        .withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))  # an id's text; equal ones are copies
+    own = saved(fingerprints(rows.select("key", "text"), "key", "text", words).distinct(), "fingerprints")
+    tops = components(near_links(own, bits)).select(F.col("node").alias("fp"), "component")
+    group = own.join(tops, "fp", "left").select(F.col("doc_id").alias("key"), F.coalesce("component", "fp").alias("component"))
+    firsts = rows.where("doc_id is not null").select("doc_id", "key").distinct().join(group, "key") \
+        .groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("least")).select("least.key")
+    kept = rows.where("doc_id is not null").join(firsts, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")).select("row")
     return rows_again(kept.union(rows.where("doc_id is null").select("row")), "row", df.columns)
