@@ -7,9 +7,11 @@ into blocks, and each block is packed best-fit decreasing and improved by
 local search: the emptiest sequence gives documents to other underfull ones by
 moves and by one-for-one and two-for-one exchanges (either way), always the
 exchange that raises the sum of squared fills most, until it is empty. The
-search stops at the least possible number of sequences, or when no exchange
-raises the sum. A block loses a sequence or two at most against packing
-all at once.
+search stops at the least possible number of sequences, when no exchange
+raises the sum, or after TRIES sequences in a row that couldn't go on; pairs
+are tried only in sequences of at most PAIRED documents. Mixed lengths end at
+the bound or a sequence or two above it; lengths of about a third of a sequence
+end a few percent above it, and cost quadratic time in a block.
 
 Only the lengths go through the shuffle, not the ids. Blocks are numbered by a
 running count, so one source, one id or repeated rows never make a block
