@@ -1,5 +1,7 @@
 """Packing: pieces, checksums, gapless sequences, and few of them."""
 
+import itertools
+import time
 import zlib
 
 import numpy as np
@@ -79,6 +81,62 @@ def test_local_search_empties_bins():
     assert packing.improve([], np.zeros(0, np.int64), 2048) == []
 
 
+def fewest(sizes, capacity):
+    """The least number of bins, by trying every packing."""
+    best, left = [len(sizes)], sorted(sizes, reverse=True)
+
+    def place(i, room):
+        if len(room) >= best[0]:
+            return
+        if i == len(left):
+            best[0] = len(room)
+            return
+        for r in set(room):
+            if r >= left[i]:
+                k = room.index(r)
+                place(i + 1, [*room[:k], r - left[i], *room[k + 1:]])
+        place(i + 1, [*room, capacity - left[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_as_few_bins_as_brute_force():
+    rng = np.random.default_rng(3)
+    over = 0
+    for n in range(200):
+        capacity = int(rng.integers(8, 40))
+        sizes = rng.integers(1, (capacity if n % 2 else capacity // 2) + 1, int(rng.integers(1, 10)))
+        want, bins = fewest(sizes.tolist(), capacity), packing.few_bins(sizes, capacity)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(sizes[b].sum() <= capacity for b in bins)
+        assert packing.least_bins(sizes, capacity) <= want <= len(bins)
+        over += len(bins) - want
+    assert over <= 2
+
+
+def test_thirds_of_a_sequence_reach_the_bound_in_a_whole_block():
+    sizes = np.random.default_rng(1).integers(600, 761, packing.BLOCK)
+    start = time.monotonic()
+    assert len(packing.few_bins(sizes, 2048)) == packing.least_bins(sizes, 2048) == -(-packing.BLOCK // 3)
+    assert time.monotonic() - start < 3
+
+
+def test_search_ends_where_no_exchange_gains():
+    rng = np.random.default_rng(8)
+    for n in range(30):
+        capacity = 30
+        sizes = rng.integers(3, 16, 24)
+        bins = packing.improve(packing.best_fit(sizes, capacity), sizes, capacity)
+        if len(bins) == packing.least_bins(sizes, capacity):
+            continue
+        fill = [int(sizes[b].sum()) for b in bins]
+        some = [[(0, 0)] + [(1, int(sizes[i])) for i in b] + [(2, int(sizes[i] + sizes[j])) for i, j in itertools.combinations(b, 2)] for b in bins]
+        for x, y in itertools.permutations(range(len(bins)), 2):
+            for (k, given), (m, back) in itertools.product(some[x], some[y]):
+                if k + m in (1, 2, 3) and (k, m) not in ((2, 0), (0, 2)) and 0 < given - back <= capacity - fill[y]:
+                    assert (fill[y] + given - back) ** 2 + (fill[x] - given + back) ** 2 <= fill[x] ** 2 + fill[y] ** 2
+
+
 def test_added_tokens_in_texts(spark):
     plain = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
     assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
