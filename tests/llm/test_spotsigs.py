@@ -93,6 +93,45 @@ def test_near_pairs(spark):
     assert set(found) == set(want) and all(abs(found[p] - want[p]) < 1e-9 for p in want) and len(want) > 20
 
 
+def brute_near(docs):
+    """{id: (class id, number of near classes)} by comparing all sets."""
+    sets = {i: frozenset(brute(t)) for i, t in docs.items()}
+    heads = {}
+    for i, x in sets.items():
+        heads[x] = min(i, heads.get(x, i))
+    near = dict.fromkeys(heads, 0)
+    for x, y in itertools.combinations(heads, 2):
+        if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and jaccard(x, y) >= 0.8:
+            near[x] += 1
+            near[y] += 1
+    return {i: (heads[x], near[x]) for i, x in sets.items()}
+
+
+def test_near_classes_of_the_query(spark):
+    from voltlake.llm.queries import QUERIES
+    docs = sf_documents(spark)
+    rows = {r.doc_id: (r.class_id, r.n_near) for r in QUERIES["op4_spot_signatures"](spark, SF).collect()}
+    assert rows == brute_near(docs)
+
+
+def test_hot_signature_is_split(spark):
+    rng = random.Random(7)
+    common = [f"the frame{n} of page{n} sized{n}" for n in range(6)]  # every text has these signatures
+    docs = {}
+    for n in range(160):
+        own = [f"the own{k}x{rng.randint(0, 3)} part{k} end{k}" for k in range(rng.randint(0, 4))]
+        docs[n] = " ".join(common + own)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    want = brute_near(docs)
+    assert max(k for _, k in want.values()) > 5
+    for tile in (8, 4096):
+        pairs, members = spotsigs.near_pairs(df, chain=spotsigs.CHAIN, tile=tile)
+        own = {r.doc_id: r.class_id for r in members.collect()}
+        links = [(r.a, r.b) for r in pairs.collect()]
+        assert len(links) == len(set(links)) and own == {i: c for i, (c, _) in want.items()}
+        assert {c: sum(c in p for p in links) for c in own.values()} == dict(want.values())
+
+
 def test_plan_is_native(spark):
     from voltlake.llm.queries import QUERIES
     plan = QUERIES["op4_spot_signatures"](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -5,10 +5,12 @@ after it. A document's fingerprint is the set of its signatures' hashes, eight
 hex digits each, ascending. Likeness is the Jaccard similarity of two sets.
 
 Near pairs are found among distinct sets: a set meets others by the signatures
-of its prefix, rarest first, as long that a pair of the wanted similarity must
-share one there; sets are dealt into partitions by their size, and a set meets
-only the partitions whose sizes allow the similarity. What meets is pruned by
-size again and verified exactly.
+of its prefix, rare ones first, as long that a pair of the wanted similarity
+must share one there; sets are dealt into partitions by their size, and a set
+is a guest in the next one if a set there can be alike. What meets is pruned
+by size and by a sketch of 64 parities before it is a candidate, and verified
+exactly. A signature that many sets of a partition have is split into pairs of
+chunks, so no task gets all of them.
 
 A text without a signature has one: the hash of all its words, or of the text
 itself if it has none. So equal texts have equal fingerprints, null and empty
@@ -28,6 +30,12 @@ from voltlake.llm.common import saved
 
 #: Content words after an anchor.
 CHAIN = 3
+#: Numbers by which signatures are ordered, rare ones first (a power of two); what reaches the driver of them.
+COUNTS = 1 << 16
+#: Steps of size in a partition; one step is the ratio that two alike sets may have.
+STEPS = 8
+#: Sets that meet at one signature of a partition; more are split into pairs of chunks.
+TILE = 4096
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -97,27 +105,74 @@ def sets(df: DataFrame, text_col: str = "text", chain: int = CHAIN) -> DataFrame
     return df.withColumn("signatures", signatures(F.col(text_col), chain))
 
 
-def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, chain: int = 5) -> tuple[DataFrame, DataFrame]:
+def classes(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((columns of own, key), (node, key, class_id, s)) of rows with doc_id and a set s: classes of equal sets, named by
+    128 bits, with a number and their smallest id."""
+    keyed = own.withColumn("key", F.struct(F.xxhash64("s").alias("a"), F.xxhash64(F.lit("other"), "s").alias("b")))
+    named = keyed.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("s").alias("s"))
+    return keyed.drop("s"), saved(named.select(F.monotonically_increasing_id().alias("node"), "key", "class_id", "s"), "classes")
+
+
+def _counts(sets: DataFrame) -> Column:
+    """array<long> of COUNTS numbers: signatures by their last bits (one small row for each to the driver)."""
+    found = sets.select(F.explode("s").alias("x")).groupBy(F.col("x").bitwiseAND(F.lit(COUNTS - 1)).alias("at")).count().collect()
+    by = {r["at"]: min(r["count"], (1 << 31) - 1) for r in found}
+    return F.split(F.lit(",".join(str(by.get(n, 0)) for n in range(COUNTS))), ",").cast("array<long>")
+
+
+def set_pairs(named: DataFrame, least: float = 0.8, tile: int = TILE) -> DataFrame:
+    """(a, b, likeness): pairs a < b of nodes whose sets are alike enough. named: a table of node and distinct sets s."""
+    often = _counts(named)
+    low = lambda x: x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    # rare signatures first: any order that all sets share does, so counts by the last bits are enough
+    ranked = F.sort_array(F.transform("s", lambda x: F.shiftleft(F.get(often, x.bitwiseAND(F.lit(COUNTS - 1))), 32).bitwiseOR(low(x))))
+    n = F.size("s")
+    length = n - F.ceil(n * F.lit(least) - F.lit(1e-9)).cast("int") + 1
+    sketch = F.aggregate("s", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 16).bitwiseAND(F.lit(63)))))
+    # sets that can be alike are at most one step apart; a partition holds STEPS steps and guests of the last one before
+    step = F.floor(F.log(n.cast("double")) / F.lit(-math.log(least)) + F.lit(1e-9)).cast("int")
+    own_part = F.floor(step / STEPS).cast("int")
+    parts = F.when(step % STEPS == STEPS - 1, F.array(own_part, own_part + 1)).otherwise(F.array(own_part))
+    rows = named.where(n > 0).select("node", n.alias("n"), sketch.alias("bits"), own_part.alias("own"), parts.alias("parts"), F.explode(F.slice(ranked, 1, length)).alias("x")) \
+        .select(_short(F.shiftleft("x", 32)).alias("sig"), "node", "n", "bits", "own", F.explode("parts").alias("part")) \
+        .select("sig", "part", "node", "n", "bits", (F.col("own") < F.col("part")).alias("guest"))
+    # a signature that many sets of a partition have is split into pairs of chunks
+    crowd = saved(rows.groupBy("sig", "part").agg(F.count("*").alias("held")).where(F.col("held") > tile), "crowded")
+    chunks = F.coalesce(F.ceil(F.col("held") / tile).cast("int"), F.lit(1))
+    chunk = F.pmod(F.xxhash64("node"), chunks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), chunks - 1))
+    dealt = rows.join(crowd, ["sig", "part"], "left").select("sig", "part", "node", "n", "bits", "guest", chunk.alias("c"), other.alias("d")) \
+        .select("sig", "part", F.least("c", "d").alias("low"), F.greatest("c", "d").alias("high"), "c", "node", "n", "bits", "guest") \
+        .repartition("sig", "part", "low", "high")
+    key = ["sig", "part", "low", "high"]
+    right = dealt.select(*key, *[F.col(c).alias(f"{c}2") for c in ("c", "node", "n", "bits", "guest")])
+    once = ((F.col("low") == F.col("high")) | (F.col("c") != F.col("c2"))) & ~(F.col("guest") & F.col("guest2"))
+    sized = (F.least("n", "n2") >= F.greatest("n", "n2") * F.lit(least) - 1e-9)
+    # what two alike sets don't share has at most this size, and each of it changes a bit of the sketch
+    apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits2"))) <= (F.col("n") + F.col("n2")) * F.lit((1 - least) / (1 + least)) + 1e-9
+    met = dealt.join(right, key).where((F.col("node") < F.col("node2")) & once & sized & apart).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    met = saved(met, "met")
+    taking_part = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
+    their = saved(named.select("node", "s").join(taking_part, "node", "left_semi"), "compared")
+    side = lambda c: their.select(F.col("node").alias(c), F.col("s").alias("s" + c))
+    return met.join(side("a"), "a").join(side("b"), "b").select("a", "b", likeness(F.col("sa"), F.col("sb")).alias("likeness")).where(F.col("likeness") >= least - 1e-12)
+
+
+def near_counts(pairs: DataFrame) -> DataFrame:
+    """(node, n_near): how many others each node is alike to."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_near"))
+
+
+def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, chain: int = 5, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """Pairs of classes of equal fingerprints (a < b, likeness) with at least the likeness, and the members
     (doc_id, class_id) of every class; a class is named by its smallest id, rows without an id have no class."""
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), signatures(F.col(text_col), chain).alias("s")).where("doc_id is not null")
-    members = own.withColumn("key", F.sha2(fingerprint(F.col("s")), 256))
-    classes = members.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("s").alias("s"))
-    named = classes.select("class_id", "s", F.size("s").alias("n"))
-    part = lambda n: F.floor(F.log(n.cast("double")) / F.lit(-math.log(least)) + F.lit(1e-9)).cast("int")
-    each = named.select("class_id", "n", F.explode("s").alias("sig"))
-    often = each.groupBy("sig").agg(F.count("*").alias("f"))
-    ranked = each.join(often, "sig").groupBy("class_id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "sig"))).alias("r"))
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9)).cast("int") + 1
-    prefix = ranked.select("class_id", "n", F.explode(F.slice("r", F.lit(1), length)).alias("x")).select("class_id", "n", F.col("x.sig").alias("sig"))
-    left = prefix.select("sig", F.col("class_id").alias("a"), F.col("n").alias("na"), F.explode(F.array(part(F.col("n")), part(F.col("n")) + 1)).alias("part"))
-    right = prefix.select("sig", F.col("class_id").alias("b"), F.col("n").alias("nb"), part(F.col("n")).alias("part"))
-    met = left.join(right, ["sig", "part"]).where((F.col("a") != F.col("b")) & (F.col("na") <= F.col("nb")) & (F.col("na") >= F.col("nb") * least - 1e-9)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda n: named.select(F.col("class_id").alias(n), F.col("s").alias("s" + n))
-    pairs = met.join(side("a"), "a").join(side("b"), "b").withColumn("likeness", likeness(F.col("sa"), F.col("sb"))) \
-        .where(F.col("likeness") >= least - 1e-12).select("a", "b", "likeness")
-    return pairs, members.join(classes.select("key", "class_id"), "key").select("doc_id", "class_id")
+    members, named = classes(own)
+    name = lambda c: named.select(F.col("node").alias(c), F.col("class_id").alias("id" + c))
+    pairs = set_pairs(named, least, tile).join(name("a"), "a").join(name("b"), "b") \
+        .select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"), "likeness")
+    return pairs, members.join(named.select("key", "class_id"), "key").select("doc_id", "class_id")
 
 
 # --- a document and its successor ------------------------------------------------
@@ -158,35 +213,40 @@ def successors(rows: DataFrame) -> DataFrame:
         "id", "h", "n", then["id"].alias("next_id"), then["h"].alias("next_h"), then["n"].alias("next_n"))
 
 
-def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN) -> DataFrame:
-    """(doc_id, n_chars, text, edited, signatures, edited_signatures, next_signatures) of every row.
+def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN, least: float = 0.8) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, signatures, edited_signatures, next_signatures, class_id, n_near) of every row.
 
     The edited text has the last half of the code points (rounded down) replaced by the first as many of the next
     document's. Rows of one id follow each other by a hash of their text; rows equal in both count as one, and rows
-    without an id come last.
+    without an id come last. class_id is the smallest id with an equal set (null if none has an id), n_near the number
+    of other sets with at least the likeness ``least``.
     """
     lowest = -(1 << 63)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = df.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("text")) \
         .select(F.coalesce("doc_id", F.lit(lowest)).alias("id"), F.xxhash64("text").alias("h"), "text")
-    rows = base.select("id", "h", "text", signatures(F.col("text"), chain).alias("s"))
+    own, named = classes(base.select("id", "h", F.when(F.col("id") != lowest, F.col("id")).alias("doc_id"), signatures(F.col("text"), chain).alias("s")))
+    near = named.select("node", "key", "class_id").join(near_counts(set_pairs(named, least)), "node", "left") \
+        .select("key", "class_id", F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    placed = own.select("id", "h", "key").distinct().join(near, "key").select("id", "h", "class_id", "n_near")
+    rows = base.select("id", "h", "text")
     after = successors(base.select("id", "h", F.length("text").alias("n")).distinct())
     # each row hands its beginning and its set to the row before it
     before = after.select(F.col("next_id").alias("id"), F.col("next_h").alias("h"), F.col("id").alias("to_id"), F.col("h").alias("to_h"), (F.floor(F.col("n") / 2)).cast("int").alias("half"))
     handed = rows.join(before, ["id", "h"]).select(
-        F.col("to_id").alias("id"), F.col("to_h").alias("h"), F.left("text", F.col("half")).alias("start"), F.col("s").alias("next_signatures")) \
+        F.col("to_id").alias("id"), F.col("to_h").alias("h"), F.left("text", F.col("half")).alias("start"), signatures(F.col("text"), chain).alias("next_signatures")) \
         .groupBy("id", "h").agg(F.first("start").alias("start"), F.first("next_signatures").alias("next_signatures"))
     half = F.floor(F.length("text") / 2).cast("int")
-    both = rows.join(handed, ["id", "h"]).withColumn("edited", F.concat(F.left("text", F.length("text") - half), F.col("start")))
+    both = rows.join(handed, ["id", "h"]).join(placed, ["id", "h"]).withColumn("edited", F.concat(F.left("text", F.length("text") - half), F.col("start")))
     return both.select(F.when(F.col("id") != lowest, F.col("id")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
-                       F.sha2("edited", 256).alias("edited_sha256"), F.col("s").alias("signatures"),
-                       signatures(F.col("edited"), chain).alias("edited_signatures"), "next_signatures")
+                       F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("text"), chain).alias("signatures"),
+                       signatures(F.col("edited"), chain).alias("edited_signatures"), "next_signatures", "class_id", "n_near")
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id, n_near)."""
     return edited(df, id_col, text_col).select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("signatures")).alias("fingerprint"),
         fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
         likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
-        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"))
+        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"), "class_id", "n_near")
