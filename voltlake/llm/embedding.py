@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ from voltlake.llm.components import components
 
 #: Vectors that the quantisers are fitted on at most, and of each list, about.
 SAMPLE, OF_EACH = 65_536, 32
+#: Bytes of the sample, as doubles, at most.
+SAMPLE_BYTES = 128 << 20
 #: Coarse lists at most; twice the square root of the vectors' number, if that is less.
 LISTS = 2048
 #: Lists that a query goes to.
@@ -165,9 +168,17 @@ def classes(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -
 
 
 def _stack(column, wide: int) -> np.ndarray:
-    out = np.zeros((len(column), wide))
-    for i, x in enumerate(column.to_pylist()):
-        out[i, :len(x)] = x
+    """Rows of a list column as doubles, filled up with zeros; read off its values, not as Python numbers."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), wide), np.float64)
+    if len(flat) == out.size:
+        out[:] = flat.reshape(out.shape)
+    else:
+        starts = np.cumsum(lengths) - lengths
+        out[np.repeat(np.arange(len(column)), lengths), np.arange(len(flat)) - np.repeat(starts, lengths)] = flat
     return out
 
 
@@ -185,7 +196,7 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
     size = own.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("wide")).first()
     n, wide = size["n"], -(-(size["wide"] or WIDTH) // WIDTH) * WIDTH
     spot = F.pmod(F.xxhash64(F.lit("sample"), "node"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = own.where(spot < min(1.0, min(sample, OF_EACH * list_number(n, lists)) / max(1, n))).select("vec").toArrow()
+    chosen = own.where(spot < min(1.0, min(sample, OF_EACH * list_number(n, lists), SAMPLE_BYTES // (8 * wide)) / max(1, n))).select("vec").toArrow()
     raw = _stack(chosen.column("vec"), wide) if n else np.zeros((0, wide))
     if not len(raw):
         raw = np.eye(1, wide)
@@ -203,11 +214,10 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
             raw = _stack(b.column(2), wide)
             x, norm = _scaled(raw)
             near, codes, lost = encode(x / norm[:, None], v, probes)
-            lengths = [len(y) for y in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), pa.array(lengths, pa.int32()), pa.array([r.tobytes() for r in raw.astype(packed)], pa.binary()),
+                b.column(0), b.column(1), pc.list_value_length(b.column(2)), pa.array([r.tobytes() for r in raw.astype(packed)], pa.binary()),
                 pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(lost),
-                pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))],
+                pa.ListArray.from_arrays(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32), near.astype(np.int32).ravel())],
                 ["node", "m", "length", "vec", "codes", "lost", "probes"])
 
     coded = saved(own.select("node", "m", "vec").mapInArrow(
@@ -239,7 +249,7 @@ def links(own: DataFrame, least: float = 0.95, lists: int = LISTS, probes: int =
             vec, norm = _scaled(np.frombuffer(b"".join(t.column("vec").to_pylist()), packed).reshape(k, wide).astype(np.float64))
             return {"node": t.column("node").to_numpy(), "m": t.column("m").to_numpy(), "length": t.column("length").to_numpy(),
                     "vec": vec, "norm": norm,
-                    "lost": t.column("lost").to_numpy(), "probes": np.array(t.column("probes").to_pylist(), np.int64).reshape(k, -1),
+                    "lost": t.column("lost").to_numpy(), "probes": t.column("probes").combine_chunks().flatten().to_numpy().astype(np.int64).reshape(k, -1),
                     "codes": np.frombuffer(b"".join(x or b"" for x in t.column("codes").to_pylist()), np.uint8).reshape(k, -1) if mask is side else None}
 
         nodes, counts, a, b = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
