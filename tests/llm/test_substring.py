@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests_llm_data import SF, edge_documents, edge_rows, sf_documents
 from voltlake.llm import substring
@@ -58,3 +59,24 @@ def test_made_up_overlaps(spark, window):
     pairs += [(100, "a " * 200), (101, pairs[3][1]), (102, pairs[3][1]), (103, " ".join(f"q{j % 50}" for j in range(140)))]
     df = spark.createDataFrame(pairs, "doc_id long, text string")
     same(substring.digests(df, window=window).collect(), pairs, window)
+
+
+def test_windows_that_share_64_bits(spark, monkeypatch):
+    """Different windows of one text pair share the first half of their hash; the other half still tells them apart."""
+    own = substring.Hashes.at
+
+    def poor(self, length, starts=None, half=0):
+        h = own(self, length, starts, half)
+        return h * 0 if length == 35 and half == 0 else h
+
+    monkeypatch.setattr(substring.Hashes, "at", poor)
+    shared = " ".join(f"s{j}" for j in range(25))  # too short to be a window, long enough to be a candidate
+    pairs = [(i, " ".join([f"a{i}x{j}" for j in range(30)] + [shared] + [f"b{i}x{j}" for j in range(30)])) for i in range(6)]
+    pairs += [(10 + i, " ".join([f"c{i}x{j}" for j in range(5)] + [f"t{j}" for j in range(40)])) for i in range(3)]
+    same(substring.digests(spark.createDataFrame(pairs, "doc_id long, text string")).collect(), pairs, 35)
+
+
+def test_names_of_texts(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("",)], "t string").select(substring.key_of(F.col("t")).alias("k")).collect()
+    names = [bytes(r.k) for r in rows]
+    assert all(len(k) == 16 for k in names) and names[0] == names[1] != names[2] and names[3] == names[4]

@@ -11,9 +11,10 @@ level to level, and only what is repeated at one is looked at in the next:
 3. the window: the survivors' windows are hashed whole; those that start at two
    places or more are the repeated ones.
 
-Levels 1 and 2 only discard, so their hashes can't lose a window. A place is a
-text and a position; equal texts share their places, and texts that more than
-one row has are repeated whole. Hot passages meet as counts first (partial
+Levels 1 and 2 only discard, so their hashes can't lose a window; whole windows
+are compared by 128 bits. A place is a text, named by 128 bits, and a position;
+equal texts share their places, and texts that more than one row has are
+repeated whole. Hot passages meet as counts first (partial
 aggregation), and rows of hot keys are joined to a table of one row a key,
 which Spark splits. Only rows whose text holds a candidate are shuffled with
 their text; a bitmap of fixed size (BITMAP_BITS) tells which may, and errs on
@@ -57,26 +58,27 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Hashes:
-    """Hashes of all word sequences of one text, by prefix sums."""
+    """Hashes of all word sequences of one text, by prefix sums: 64 bits, or 128 as two independent halves (``wide``)."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes], wide: bool = False):
         n = len(words)
-        own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+        own = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(n, 2).astype(np.uint64)
         powers = np.full(n + 1, _BACK, np.uint64)
         powers[0] = 1
         powers = np.multiply.accumulate(powers)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(own * powers[:n], out=self.sums[1:])
+        self.sums = np.zeros((1 + wide, n + 1), np.uint64)
+        for half in range(1 + wide):
+            np.cumsum(own[:, half] * powers[:n], out=self.sums[half, 1:])
         self.n = n
         steps = np.full(n + 1, _STEP, np.uint64)
         steps[0] = 1
         self.steps = np.multiply.accumulate(steps)
 
-    def at(self, length: int, starts: np.ndarray | None = None) -> np.ndarray:
+    def at(self, length: int, starts: np.ndarray | None = None, half: int = 0) -> np.ndarray:
         """Hashes of the sequences of that length, of all starts or the given ones."""
         if starts is None:
             starts = np.arange(max(0, self.n - length + 1))
-        return _mixed((self.sums[starts + length] - self.sums[starts]) * self.steps[starts] + np.uint64(length))
+        return _mixed((self.sums[half, starts + length] - self.sums[half, starts]) * self.steps[starts] + np.uint64(length))
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -105,14 +107,22 @@ def anchors(h: Hashes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def key_of(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    """The name of a text: 16 bytes."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _columns(found: list[tuple[bytes, tuple[np.ndarray, ...]]], names: list[str]) -> pa.RecordBatch:
+    """Column k, each text's name for all its entries, and the entries' columns."""
+    sizes = np.array([len(parts[0]) for _, parts in found])
+    keys = pa.array([k for k, _ in found], pa.binary()).take(pa.array(np.repeat(np.arange(len(found)), sizes)))
+    return pa.RecordBatch.from_arrays([keys, *[pa.array(np.concatenate(c)) for c in zip(*[parts for _, parts in found], strict=True)]], ["k", *names])
 
 
 def _emit_bases(window: int):
     base = base_length(window)
 
     def run(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for part, texts in text_chunks(batches):
             keys, out = part.column(0).to_pylist(), []
             for k, t in zip(keys, texts, strict=True):
@@ -127,11 +137,10 @@ def _emit_bases(window: int):
                 ends = len(g) - 1
                 right = np.where(p + base <= ends, g[np.minimum(p + base, ends)], 0)
                 left = np.where(p >= base, g[np.maximum(p - base, 0)], 0)
-                out.append((np.full(len(p), k, np.int64), p.astype(np.int32), g[p].view(np.int64),
-                            right.astype(np.uint32).view(np.int32), left.astype(np.uint32).view(np.int32)))
+                out.append((k, (p.astype(np.int32), g[p].view(np.int64),
+                                right.astype(np.uint32).view(np.int32), left.astype(np.uint32).view(np.int32))))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
-                                                 ["k", "pos", "h", "rh", "lh"])
+                yield _columns(out, ["pos", "h", "rh", "lh"])
     return run
 
 
@@ -153,9 +162,7 @@ def _emit_windows(window: int):
             out = []
             for k, t, r, lf in zip(part.column(0).to_pylist(), texts, rights, lefts, strict=True):
                 words = words_of(t)
-                if len(words) < window:  # another text with the same key
-                    continue
-                h = Hashes(words)
+                h = Hashes(words, wide=True)
                 _, g, least = anchors(h, window)
                 o = _leftmost(g, least, window - base + 1)
                 p = np.arange(len(least)) + o
@@ -165,9 +172,9 @@ def _emit_windows(window: int):
                     flags[places[places < len(g)]] = True
                 s = np.flatnonzero(np.where(o + 2 * base <= window, on_right[p], on_left[p]))
                 if len(s):
-                    out.append((np.full(len(s), k, np.int64), s.astype(np.int32), h.at(window, s).view(np.int64)))
+                    out.append((k, (s.astype(np.int32), h.at(window, s).view(np.int64), h.at(window, s, 1).view(np.int64))))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["k", "pos", "h"])
+                yield _columns(out, ["pos", "h", "h2"])
     return run
 
 
@@ -201,7 +208,7 @@ def repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> Data
     copies = saved(texts.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "copies")
 
     # 1: base sequences
-    bases = saved(texts.mapInArrow(_emit_bases(window), "k long, pos int, h long, rh int, lh int"), "bases")
+    bases = saved(texts.mapInArrow(_emit_bases(window), "k binary, pos int, h long, rh int, lh int"), "bases")
     twice = _twice(bases, "twice")
     stay = _marked(bases, "h", twice, "h").where("_may").drop("_may").join(twice, "h", "left_semi")
 
@@ -219,9 +226,9 @@ def repeats(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> Data
     # 3: whole windows
     some = _marked(texts, "k", places, "k").where("_may").groupBy("k").agg(F.first("text").alias("text"))
     windows = saved(some.join(places, "k").select("k", "text", "rights", "lefts")
-                    .mapInArrow(_emit_windows(window), "k long, pos int, h long"), "windows")
-    again = saved(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
-    found = windows.join(again, "h", "left_semi").groupBy("k").agg(F.collect_list("pos").alias("starts"))
+                    .mapInArrow(_emit_windows(window), "k binary, pos int, h long, h2 long"), "windows")
+    again = saved(windows.groupBy("h", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h", "h2"), "again")
+    found = windows.join(again, ["h", "h2"], "left_semi").groupBy("k").agg(F.collect_list("pos").alias("starts"))
     return saved(found.join(copies.withColumn("whole", F.lit(True)), "k", "full")
                  .select("k", F.coalesce("starts", F.array().cast("array<int>")).alias("starts"),
                          F.coalesce("whole", F.lit(False)).alias("whole")), "repeats")
