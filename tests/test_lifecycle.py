@@ -215,3 +215,22 @@ def test_grid_fill_over_empty_days_and_single_rows(spark):
         want[slot] = max((t, float(n)) for n, t in enumerate(at) if t <= slot)[1]
         slot += dt.timedelta(minutes=15)
     assert got["a"] == want and "b" not in got
+
+
+def test_documents_appended_twice_are_parsed_once(spark, monkeypatch):
+    import datetime
+
+    from voltlake.plans import lifecycle
+    parsed = spark.sparkContext.accumulator(0)
+
+    def parse(n):
+        parsed.add(1)
+        return float(n)
+
+    price = spark.range(40).select(
+        F.lit("zone").alias("eic_code"), F.udf(parse, "double").asNondeterministic()("id").alias("price"), F.lit("EUR").alias("currency_unit"),
+        F.lit("MWH").alias("price_measure_unit"), F.lit(datetime.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("datetime"), F.col("id").alias("ingest_order"))
+    monkeypatch.setattr(lifecycle, "_documents", lambda spark, sf_dir: {"price": price})
+    back = lifecycle._lake(spark, SF)["price"].groupBy("ingest_order", "price").count().collect()
+    assert sorted((r["ingest_order"], r["price"], r["count"]) for r in back) == [(n, float(n), 2) for n in range(40)]
+    assert parsed.value == 40
