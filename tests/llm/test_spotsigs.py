@@ -132,6 +132,54 @@ def test_hot_signature_is_split(spark):
         assert {c: sum(c in p for p in links) for c in own.values()} == dict(want.values())
 
 
+def copies_of(rng, base, n, edits):
+    """n copies of a text of units, each with some units replaced, a few by the same ones."""
+    out = []
+    for _ in range(n):
+        units = list(base)
+        for _ in range(rng.choice(edits)):
+            k = rng.randrange(len(units))
+            units[k] = f"the other{k}x{rng.choice((0, rng.randint(1, 1 << 40)))} part end"
+        out.append(" ".join(units))
+    return out
+
+
+def test_links_of_a_large_group_are_counted_without_its_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    one = [f"the frame{n} of page{n} sized{n}" for n in range(64)]
+    other = [f"the line{n} of house{n} numbered{n}" for n in range(90)]
+    docs = dict(enumerate(copies_of(rng, one, 260, (0, 1, 1, 1, 2, 3)) + copies_of(rng, other, 60, (1, 2, 5)) + copies_of(rng, one[:60] + other[:4], 40, (0, 1, 2))
+                          + [f"the only{n} of its{n}" for n in range(20)] + [None, ""]))
+    texts = {i: t or "" for i, t in docs.items()}
+    want = brute_near(texts)
+    links = sum({c: k for c, k in want.values()}.values()) // 2
+    assert links > 8000
+    met = []
+
+    def saved(df, what, save=spotsigs.saved):
+        out = save(df, what)
+        if what == "met":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(spotsigs, "saved", saved)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {r.doc_id: (r.class_id, r.n_near) for r in spotsigs.report(df).collect()} == want
+    assert sum(met) < links / 5
+
+
+def test_families_of_other_likenesses(spark):
+    rng = random.Random(9)
+    base = [f"the frame{n} of page{n} sized{n}" for n in range(12)]
+    docs = copies_of(rng, base, 60, (0, 1, 2, 3)) + copies_of(rng, base[:6] + [f"the line{n} of house{n}" for n in range(8)], 30, (0, 1, 2))
+    sets = list({frozenset(brute(t)) for t in docs})
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").select("doc_id", spotsigs.signatures(spotsigs.F.col("text")).alias("s"))
+    for least in (0.5, 0.75, 0.9):
+        _, named = spotsigs.classes(df)
+        want = sorted(k for k in (sum(jaccard(x, y) >= least - 1e-12 for y in sets) - 1 for x in sets) if k)
+        assert sorted(r.n_near for r in spotsigs.near_numbers(named, least).collect()) == want
+
+
 def test_plan_is_native(spark):
     from voltlake.llm.queries import QUERIES
     plan = QUERIES["op4_spot_signatures"](spark, SF)._jdf.queryExecution().executedPlan().toString()
